@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import grid, overtime, rolling
 from tidewatch.plans.registry import query
-from tidewatch.plans.tables import END, HOUR, START
+from tidewatch.plans.tables import END, HOUR, START, counter_sql
 
 SPAN = timedelta(hours=6)
 AT = {"start": START, "end": END}
@@ -33,22 +33,6 @@ _simple("avg", "avg(value)")
 _simple("max", "max(value)")
 _simple("stddev", "stddev_pop(value)")
 
-COUNTER = """
-c AS (SELECT series, ts, value, lag(value) OVER (PARTITION BY series ORDER BY ts, event_id) AS prev FROM daily_counter),
-d AS (SELECT series, epoch_us(ts) AS us, ts, value,
-             CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS delta FROM c),
-f AS (SELECT d.series, e.eval_ts, count(*) AS n, sum(delta) - arg_min(delta, us) AS rise, min(us) AS fu,
-             max(us) AS lu, arg_min(value, us) AS fv, epoch_us(e.eval_ts) AS t
-      FROM d JOIN evals e ON d.ts BETWEEN e.eval_ts - INTERVAL {hours} HOUR AND e.eval_ts
-      GROUP BY 1, 2 HAVING count(*) >= 2),
-g AS (SELECT *, (lu - fu) / 1e6 AS len, (lu - fu) / 1e6 / (n - 1) AS gap,
-             (fu - t) / 1e6 + {hours} * 3600.0 AS head0, (t - lu) / 1e6 AS tail FROM f),
-h AS (SELECT *, CASE WHEN rise > 0 AND fv >= 0 THEN least(head0, len * fv / rise) ELSE head0 END AS head FROM g),
-rated AS (SELECT series, eval_ts, rise, rise * (len + CASE WHEN head < gap * 1.1 THEN head ELSE gap / 2 END
-             + CASE WHEN tail < gap * 1.1 THEN tail ELSE gap / 2 END) / len AS increase FROM h)
-"""
-
-
 def _counter(t, mode="extrapolated", span=SPAN):
     return overtime.counter_over_time(
         t.daily_counter(), ["series"], span, HOUR, mode=mode, tie=["event_id"], **AT
@@ -57,7 +41,7 @@ def _counter(t, mode="extrapolated", span=SPAN):
 
 @query(
     "counter_rate",
-    f"WITH {COUNTER.format(hours=6)} SELECT series, eval_ts, increase / 21600.0 * 3600 AS rate_per_hour FROM rated",
+    f"WITH {counter_sql('daily_counter', 'series', 6)} SELECT series, eval_ts, increase / 21600.0 * 3600 AS rate_per_hour FROM rated",
     uses="daily_counter evals",
     doubles="rate_per_hour",
 )
@@ -67,7 +51,7 @@ def counter_rate(t):
 
 @query(
     "counter_rate_plain",
-    f"WITH {COUNTER.format(hours=6)} SELECT series, eval_ts, rise / 21600.0 * 3600 AS rate_per_hour FROM rated",
+    f"WITH {counter_sql('daily_counter', 'series', 6)} SELECT series, eval_ts, rise / 21600.0 * 3600 AS rate_per_hour FROM rated",
     uses="daily_counter evals",
     doubles="rate_per_hour",
 )
@@ -77,7 +61,7 @@ def counter_rate_plain(t):
 
 @query(
     "counter_increase",
-    f"WITH {COUNTER.format(hours=6)} SELECT series, eval_ts, increase FROM rated",
+    f"WITH {counter_sql('daily_counter', 'series', 6)} SELECT series, eval_ts, increase FROM rated",
     uses="daily_counter evals",
     doubles="increase",
 )

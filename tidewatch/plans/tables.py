@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.layout import number_rows
+from tidewatch.operators.overtime import counter_over_time
 from tidewatch.operators.grid import complete_cases, complete_grid, fill_gaps, wide
+from tidewatch.sources import rollups
 
 KINDS = ("click", "error", "purchase", "signup", "view")
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -78,6 +80,22 @@ class Tables:
             F.col("rn").cast("double").alias("value"),
         )
 
+    def shard_rates(self) -> DataFrame:
+        """Events per hour for each type and shard, six-hour frames on an hourly grid."""
+        rates = counter_over_time(
+            self.shard_counter(), ["event_type", "shard"], timedelta(hours=6), HOUR, tie=["event_id"], start=START, end=END
+        )
+        return rates.select("event_type", "shard", "eval_ts", (F.col("rate") * 3600).alias("value"))
+
+    def buckets(self) -> DataFrame:
+        """Running hourly ``le`` buckets of the gauge."""
+        return rollups.histogram(self.gauge(), ["series"], HOUR, GAUGE_BOUNDS)
+
+    def bucket_rates(self) -> DataFrame:
+        """Observations per hour and bucket, six-hour frames."""
+        rates = counter_over_time(self.buckets(), ["series", "le"], timedelta(hours=6), HOUR, start=START, end=END)
+        return rates.select("series", "le", "eval_ts", (F.col("rate") * 3600).alias("value"))
+
     def wide_hours(self) -> DataFrame:
         """One column per event type, complete hours only."""
         return complete_cases(wide(self.hourly(), "ts", "series", KINDS), KINDS)
@@ -104,6 +122,24 @@ class Tables:
         )
 
 
+def counter_sql(source: str, by: str, hours: int, tie: str = ", event_id") -> str:
+    """Expressions ending in ``rated``: rise and extrapolated increase per series and hour."""
+    return f"""
+c AS (SELECT {by}, ts, value, lag(value) OVER (PARTITION BY {by} ORDER BY ts{tie}) AS prev FROM {source}),
+d AS (SELECT {by}, epoch_us(ts) AS us, ts, value,
+             CASE WHEN prev IS NULL THEN 0 WHEN value < prev THEN value ELSE value - prev END AS delta FROM c),
+f AS (SELECT {by}, e.eval_ts, count(*) AS n, sum(delta) - arg_min(delta, us) AS rise, min(us) AS fu,
+             max(us) AS lu, arg_min(value, us) AS fv, epoch_us(e.eval_ts) AS t
+      FROM d JOIN evals e ON d.ts BETWEEN e.eval_ts - INTERVAL {hours} HOUR AND e.eval_ts
+      GROUP BY {by}, e.eval_ts HAVING count(*) >= 2),
+g AS (SELECT *, (lu - fu) / 1e6 AS len, (lu - fu) / 1e6 / (n - 1) AS gap,
+             (fu - t) / 1e6 + {hours} * 3600.0 AS head0, (t - lu) / 1e6 AS tail FROM f),
+h AS (SELECT *, CASE WHEN rise > 0 AND fv >= 0 THEN least(head0, len * fv / rise) ELSE head0 END AS head FROM g),
+rated AS (SELECT {by}, eval_ts, rise, rise * (len + CASE WHEN head < gap * 1.1 THEN head ELSE gap / 2 END
+             + CASE WHEN tail < gap * 1.1 THEN tail ELSE gap / 2 END) / len AS increase FROM h)
+"""
+
+
 # name: (other expressions it needs, SQL)
 CTES: dict[str, tuple[str, str]] = {
     "gauge": ("", "SELECT event_type AS series, ts, value, event_id FROM events"),
@@ -159,6 +195,24 @@ CTES: dict[str, tuple[str, str]] = {
         "",
         "SELECT n_name AS nation, sum(s_acctbal) AS value FROM supplier JOIN nation ON n_nationkey = s_nationkey GROUP BY 1",
     ),
+    "shard_rates": (
+        "shard_counter evals",
+        "WITH " + counter_sql("shard_counter", "event_type, shard", 6)
+        + " SELECT event_type, shard, eval_ts, increase / 21600.0 * 3600 AS value FROM rated",
+    ),
+    "buckets": (
+        "",
+        "WITH b AS (SELECT event_type AS series, CASE WHEN date_trunc('hour', ts) = ts THEN ts ELSE "
+        "date_trunc('hour', ts) + INTERVAL 1 HOUR END AS ts, le, count(*) FILTER (value <= le) AS n, sum(value) AS s "
+        "FROM events, (SELECT unnest([1, 5, 10, 25, 50, 100, 250, 500, 'Infinity'::DOUBLE]) AS le) GROUP BY 1, 2, 3) "
+        "SELECT series, ts, le, CAST(sum(n) OVER (PARTITION BY series, le ORDER BY ts ROWS UNBOUNDED PRECEDING) AS DOUBLE) "
+        "AS value, sum(s) OVER (PARTITION BY series, le ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sum FROM b",
+    ),
+    "bucket_rates": (
+        "buckets evals",
+        "WITH " + counter_sql("buckets", "series, le", 6, "")
+        + " SELECT series, le, eval_ts, increase / 21600.0 * 3600 AS value FROM rated",
+    ),
     "evals": (
         "",
         "SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR)) AS eval_ts",
