@@ -47,6 +47,8 @@ def with_ctes(uses: str, body: str) -> str:
         return body
     head = ",\n".join(f"{name} AS ({CTES[name][1]})" for name in wanted)
     body = body.strip()
+    if body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {head},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {head},\n{body[5:]}"
     return f"WITH {head}\n{body}"
