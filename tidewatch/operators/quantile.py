@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.layout import exact_quantiles
@@ -12,41 +12,35 @@ from tidewatch.layout import exact_quantiles
 INF = float("inf")
 
 
-def _sorted_buckets(buckets: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """One row per label set; the array has one entry per bound, counts made monotone."""
+def _chained(buckets: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """Buckets with monotone counts ``c``, the bound and count before them, and the total.
+
+    A group of the windows holds one row per bound.
+    """
+    ordered = Window.partitionBy(*by).orderBy("le")
     merged = buckets.groupBy(*by, "le").agg(F.sum(value).alias("_c"))
-    rows = merged.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("le", "_c"))).alias("_b"))
-    monotone = F.transform(
-        "_b",
-        lambda x, i: F.struct(
-            x["le"].alias("le"),
-            F.array_max(F.transform(F.slice("_b", F.lit(1), i + 1), lambda y: y["_c"])).alias("c"),
-        ),
+    running = F.max("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    whole = Window.partitionBy(*by)
+    return merged.withColumn("c", running).withColumns(
+        {
+            "low": F.coalesce(F.lag("le").over(ordered), F.least(F.lit(0.0), F.col("le"))),
+            "before": F.coalesce(F.lag("c").over(ordered), F.lit(0.0)),
+            "total": F.max("c").over(whole),
+            "top": F.max("le").over(whole),
+        }
     )
-    rows = rows.withColumn("_b", monotone)
-    chained = F.transform(
-        "_b",
-        lambda x, i: F.struct(
-            x["le"].alias("le"),
-            x["c"].alias("c"),
-            F.when(i > 0, F.get("_b", i - 1)["le"]).otherwise(F.least(F.lit(0.0), x["le"])).alias("low"),
-            F.when(i > 0, F.get("_b", i - 1)["c"]).otherwise(F.lit(0.0)).alias("before"),
-        ),
-    )
-    return rows.withColumn("_b", chained)
 
 
 def _quantile(phi: float) -> Column:
     if phi < 0 or phi > 1:
         return F.lit(-INF if phi < 0 else INF)
-    last = F.element_at("_b", -1)
-    rank = last["c"] * phi
-    hit = F.get(F.filter("_b", lambda x: x["c"] >= rank), F.lit(0))
-    inside = hit["low"] + (hit["le"] - hit["low"]) * F.coalesce(
-        F.try_divide(rank - hit["before"], hit["c"] - hit["before"]), F.lit(0.0)
+    rank = F.col("total") * phi
+    inside = F.col("low") + (F.col("le") - F.col("low")) * F.coalesce(
+        F.try_divide(rank - F.col("before"), F.col("c") - F.col("before")), F.lit(0.0)
     )
-    value = F.when(hit["le"] == INF, hit["low"]).otherwise(inside)
-    return F.when((last["le"] == INF) & (last["c"] > 0) & (F.size("_b") > 1), value)
+    value = F.when(F.col("le") == INF, F.col("low")).otherwise(inside)
+    first = F.min_by(value, F.when(F.col("c") >= rank, F.col("le")))
+    return F.when((F.max("top") == INF) & (F.max("total") > 0) & (F.count("*") > 1), first)
 
 
 def histogram_quantile(
@@ -58,20 +52,15 @@ def histogram_quantile(
     in the ``+Inf`` bucket gives the largest finite bound. Buckets of series that
     differ in labels outside ``by`` are summed first.
     """
-    rows = _sorted_buckets(buckets, by, value)
-    return rows.select(*by, *[_quantile(phi).alias(name) for name, phi in phis.items()])
+    inner = {n: p for n, p in phis.items() if 0 <= p <= 1}
+    rows = _chained(buckets, by, value).groupBy(*by).agg(F.count("*").alias("_k"), *[_quantile(p).alias(n) for n, p in inner.items()])
+    return rows.select(*by, *[F.col(n) if n in inner else _quantile(p).alias(n) for n, p in phis.items()])
 
 
 def bucket_shares(buckets: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
     """Share of observations between neighbouring bounds."""
-    rows = _sorted_buckets(buckets, by, value)
-    rows = rows.withColumn("_total", F.element_at("_b", -1)["c"]).select(*by, "_total", F.explode("_b").alias("_x"))
-    return rows.select(
-        *by,
-        F.col("_x.low").alias("low"),
-        F.col("_x.le").alias("le"),
-        F.try_divide(F.col("_x.c") - F.col("_x.before"), F.col("_total")).alias("share"),
-    )
+    share = F.try_divide(F.col("c") - F.col("before"), F.col("total"))
+    return _chained(buckets, by, value).select(*by, "low", "le", share.alias("share"))
 
 
 def observed_quantiles(df: DataFrame, by: Sequence[str], probs: Mapping[str, float], value: str = "value") -> DataFrame:

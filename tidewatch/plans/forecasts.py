@@ -56,15 +56,15 @@ def linear_forecast(t):
 
 @query(
     "time_to_threshold",
-    f"""WITH {fit_sql('revenue')}, s AS (SELECT series, last_ts, CASE WHEN slope > 0 AND (5e6 - last_value) / slope > 0
-      THEN (5e6 - last_value) / slope END AS sec FROM fit)
+    f"""WITH {fit_sql('hourly')}, s AS (SELECT series, last_ts, CASE WHEN slope > 0 AND (500 - last_value) / slope > 0
+      THEN (500 - last_value) / slope END AS sec FROM fit)
     SELECT series, sec / 3600 AS hours_to_limit, CASE WHEN epoch_us(last_ts) / 1e6 + sec < 253402300799
       THEN make_timestamp(CAST(floor(epoch_us(last_ts) / 1e6 + sec) AS BIGINT) * 1000000) END AS breach_ts FROM s""",
-    uses="revenue",
+    uses="hourly",
     doubles="hours_to_limit",
 )
 def time_to_threshold(t):
-    out = linear.time_to_threshold(linear.linear_fit(t.revenue(), S), 5e6)
+    out = linear.time_to_threshold(linear.linear_fit(t.hourly(), S), 500.0)
     return out.select("series", "hours_to_limit", "breach_ts")
 
 
