@@ -87,7 +87,7 @@ def target_labels(t):
 @query(
     "ingest_text",
     "SELECT 'event_value' AS metric, event_type, CAST(user_id AS VARCHAR) AS user, 'gauge' AS type, value, "
-    "epoch_ms(ts) AS ts_ms FROM events",
+    "epoch_us(ts) // 1000 AS ts_ms FROM events",
     doubles="value",
 )
 def ingest_text(t):
@@ -115,7 +115,7 @@ def ingest_text(t):
 )
 def ingest_json(t):
     """The events written as instant (even id) and range responses, and read back."""
-    stamp = lambda s: F.format_string("%.6f", (F.unix_micros("ts") + s * 1_000_000).cast("decimal(20,0)") / 1_000_000)
+    stamp = lambda s: ((F.unix_micros("ts") + s * 1_000_000).cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)").cast("string")
     head = '{"status":"success","data":{"resultType":"%s","result":[{"metric":{"__name__":"event_value","event_type":"%s"},'
     text = F.col("value").cast("string")
     docs = t.table("events").select(
