@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewatch.layout import attach
-from tidewatch.operators import forest, rolling, vectors
+from tidewatch.operators import density, forest, rolling, stats, vectors
 from tidewatch.plans.alerting import HOURLY
 from tidewatch.plans.registry import query
 from tidewatch.plans.tables import HOUR, KINDS
@@ -54,6 +54,41 @@ def iforest_sweep(t):
     return forest.sweep(scored, ["scope"], [0.01, 0.02, 0.03, 0.05, 0.1])
 
 
+SCALED = [f"{k}_scaled" for k in KINDS]
+SCALED_SQL = "sc AS (SELECT ts, " + ", ".join(
+    f'("{k}" - avg("{k}") OVER ()) / stddev_pop("{k}") OVER () AS {k}_scaled' for k in KINDS
+) + " FROM wide_hours)"
+NEAR_SQL = SCALED_SQL + ", nb AS (SELECT a.ts, count(*) AS neighbours FROM sc a JOIN sc b ON " + " + ".join(
+    f"pow(a.{c} - b.{c}, 2)" for c in SCALED
+) + " <= {eps} * {eps} GROUP BY 1)"
+
+
+def scaled(t):
+    return stats.standard_scale(wide(t), KINDS, ["scope"])
+
+
+@query("eps_neighbors", f"WITH {NEAR_SQL.format(eps=1.5)} SELECT ts, neighbours FROM nb", uses="wide_hours")
+def eps_neighbors(t):
+    return density.eps_neighbours(scaled(t), ["scope"], "ts", SCALED).select("ts", F.col("neighbours").cast("bigint"))
+
+
+@query("dbscan_core", f"WITH {NEAR_SQL.format(eps=0.8)} SELECT ts, neighbours >= 5 AS is_core FROM nb", uses="wide_hours")
+def dbscan_core(t):
+    rows = scaled(t)
+    sites = density.core_sites(rows, ["scope"], "ts", SCALED, 0.8, 5)
+    return rows.join(sites, ["scope", *SCALED]).select("ts", F.col("core").alias("is_core"))
+
+
+@query("dbscan")
+def dbscan(t):
+    return density.dbscan(scaled(t), ["scope"], "ts", SCALED, 1.5, 5).select("ts", *KINDS, "cluster", "is_core")
+
+
+@query("dbscan_sizes")
+def dbscan_sizes(t):
+    return density.cluster_sizes(density.dbscan(scaled(t), ["scope"], "ts", SCALED, 0.8, 5))
+
+
 def batch_ticks(t):
     """Complete four-hour ticks; the one still open at the last event is left out, as on the stream."""
     out = ticks(t.gauge(), KINDS, "4 hours", metric="series")
