@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.session import shared_dir
+from tidewatch.session import settle
 
 BLOCK_ROWS = 1 << 18
 SALTS = 16
@@ -27,18 +27,13 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     """Sort by ``(keys, order)`` over balanced ranges and fix positions in ``_pos``.
 
     The range bounds come from a sample, so the positions are written to the
-    reliable checkpoint folder: every later use sees the same ones, also after
-    an executor is lost.
+    shared folder: every later use sees the same ones, also after an executor
+    is lost.
     """
-    shared_dir(df.sparkSession)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [F.col(c) for c in (*keys, *order)]
-    return (
-        df.repartitionByRange(parts, *columns)
-        .sortWithinPartitions(*columns)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .checkpoint()
-    )
+    ranges = df.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
+    return settle(ranges.withColumn("_pos", F.monotonically_increasing_id()))
 
 
 def number_rows(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.layout import attach
-from tidewatch.session import shared_dir
+from tidewatch.session import settle
 
 
 def _contract(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,11 +31,10 @@ def _contract(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for every node of an edge; the component is its smallest node."""
-    shared_dir(edges.sparkSession)
     stars = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
     seen = None
     while True:
-        stars = _contract(_contract(stars, True), False).checkpoint()
+        stars = settle(_contract(_contract(stars, True), False))
         mark = stars.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a") % 1000003)).first()
         if mark == seen:
             break

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.layout import SALTS, attach, number_rows
 from tidewatch.operators.components import components
-from tidewatch.session import shared_dir
+from tidewatch.session import settle
 
 COARSE_DIMS = 3
 FINER = 4
@@ -90,17 +90,16 @@ def _reach(space: _Space, points: DataFrame, targets: DataFrame, merge) -> DataF
 
 def core_sites(df: DataFrame, scope: Sequence[str], key: str, features: Sequence[str], eps: float, min_samples: int) -> DataFrame:
     """Distinct rows with their number, first key, cell and whether they are core."""
-    shared_dir(df.sparkSession)
     space = _Space(scope, features, eps)
     sites = df.groupBy(*scope, *features).agg(F.count("*").alias("w"), F.min(key).alias("first"))
-    sites = number_rows(sites, scope, features, rn="sid").withColumn("cell", space.cell()).checkpoint()
+    sites = settle(number_rows(sites, scope, features, rn="sid").withColumn("cell", space.cell()))
     weights = sites.groupBy(*scope, "cell").agg(F.sum("w").alias("_rows"))
     sites = attach(sites, weights, [*scope, "cell"])
     thin = sites.filter(F.col("_rows") < min_samples)
     counts = _reach(space, thin, sites.withColumn("val", F.col("w")), F.sum)
     dense = sites.filter(F.col("_rows") >= min_samples).withColumn("core", F.lit(True))
     thin = thin.join(counts, [*scope, "sid"], "left").withColumn("core", F.col("val") >= min_samples).drop("val")
-    return dense.unionByName(thin).drop("_rows").checkpoint()
+    return settle(dense.unionByName(thin).drop("_rows"))
 
 
 def _links(space: _Space, core: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -123,8 +122,8 @@ def _links(space: _Space, core: DataFrame, labelled: DataFrame) -> DataFrame:
     pairs = pairs.filter(F.col("_least") <= limit)
     found = pairs.filter(F.col("_most") <= limit).select("a", "b").distinct()
     open_ = pairs.filter(F.col("_most") > limit).select(*scope, "a", "b", "ca", "cb", F.col("ca").alias("pa"), F.col("cb").alias("pb"))
-    open_ = open_.join(found, ["a", "b"], "left_anti").checkpoint()
-    found, finer = found.checkpoint(), 1
+    open_ = settle(open_.join(found, ["a", "b"], "left_anti"))
+    found, finer = settle(found), 1
     while not open_.isEmpty():
         parent, finer = finer, finer * FINER
         parts = core.withColumns({"_parent": space.cell(parent), "_part": space.cell(finer)})
@@ -136,11 +135,11 @@ def _links(space: _Space, core: DataFrame, labelled: DataFrame) -> DataFrame:
         pairs = open_.join(mine, [*scope, "ca", "pa"]).join(theirs, [*scope, "cb", "pb"])
         pairs = pairs.withColumns({"_least": least, "_most": most}).filter(F.col("_least") <= limit)
         new = pairs.filter(F.col("_most") <= limit).select("a", "b").distinct()
-        found = found.unionByName(new).distinct().checkpoint()
+        found = settle(found.unionByName(new).distinct())
         rest = pairs.filter(F.col("_most") > limit).select(
             *scope, "a", "b", "ca", "cb", F.col("na").alias("pa"), F.col("nb").alias("pb")
         )
-        open_ = rest.join(found, ["a", "b"], "left_anti").checkpoint()
+        open_ = settle(rest.join(found, ["a", "b"], "left_anti"))
     return found
 
 
@@ -167,7 +166,7 @@ def dbscan(
     core = attach(core, final, [*scope, "cell"]).withColumn("_c", F.to_json("component"))
     firsts = core.groupBy(*scope, "_c").agg(F.min("first").alias("_first"))
     ranks = number_rows(firsts, scope, ["_first", "_c"], rn="_rank").select(*scope, "_c", (F.col("_rank") - 1).alias("cluster"))
-    core = attach(core, ranks, [*scope, "_c"]).select(*scope, "sid", "cell", *features, "cluster").checkpoint()
+    core = settle(attach(core, ranks, [*scope, "_c"]).select(*scope, "sid", "cell", *features, "cluster"))
     fringe = sites.filter("NOT core")
     border = _reach(space, fringe, core.withColumn("val", F.col("cluster")), F.min)
     outer = fringe.join(border, [*scope, "sid"], "left").select(
@@ -181,10 +180,9 @@ def eps_neighbours(
     df: DataFrame, scope: Sequence[str], key: str, features: Sequence[str], eps: float = 1.5
 ) -> DataFrame:
     """Number of rows within eps of each row, itself included."""
-    shared_dir(df.sparkSession)
     space = _Space(scope, features, eps)
     sites = df.groupBy(*scope, *features).agg(F.count("*").alias("w"))
-    sites = number_rows(sites, scope, features, rn="sid").withColumn("cell", space.cell()).checkpoint()
+    sites = settle(number_rows(sites, scope, features, rn="sid").withColumn("cell", space.cell()))
     counts = _reach(space, sites, sites.withColumn("val", F.col("w")), F.sum)
     per_site = sites.join(counts, [*scope, "sid"]).select(*scope, *features, F.col("val").alias("neighbours"))
     return attach(df, per_site, [*scope, *features])

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions.trees import grow, score
 from tidewatch.layout import attach, exact_quantiles
 from tidewatch.operators.vectors import topk
-from tidewatch.session import shared_dir
+from tidewatch.session import settle
 
 SAMPLE = 256
 SCORE_ROWS = 1 << 19
@@ -111,10 +111,9 @@ def detect(
     contamination: float = 0.05, seed: int = 42,
 ) -> DataFrame:
     """Fit, score and flag: ``decision = score - quantile(score, contamination)``, anomalous below 0."""
-    shared_dir(df.sparkSession)
     forest = fit_forest(df, scope, key, features, trees, seed)
     # scored once, read by the quantile and by the result
-    scored = score_rows(df, forest, scope, key, features).checkpoint()
+    scored = settle(score_rows(df, forest, scope, key, features))
     cut = exact_quantiles(scored, scope, "score", {"_offset": contamination})
     out = attach(scored, cut, scope).withColumn("decision", F.col("score") - F.col("_offset")).drop("_offset")
     return out.withColumn("is_anomaly", F.col("decision") < 0)

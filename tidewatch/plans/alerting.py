@@ -22,7 +22,10 @@ HOURLY = tuple(
         ("HighCpuUsage", 2), ("HighMemoryUsage", 2), ("DiskSpaceLow", 3), ("HighErrorRate", 1), ("HighLatency", 2), ("InstanceDown", 1),
     )
 )
-ERRORS = F.col("event_type").rlike("^(?:err.*)$")
+
+
+def is_error():
+    return F.col("event_type").rlike("^(?:err.*)$")
 
 
 def cpu_vector(t):
@@ -47,7 +50,7 @@ def disk_vector(t):
 
 
 def error_vector(t):
-    ratio = vectors.ratio_of_sums(t.shard_rates(), ERRORS, ["shard"]).filter("ratio IS NOT NULL")
+    ratio = vectors.ratio_of_sums(t.shard_rates(), is_error(), ["shard"]).filter("ratio IS NOT NULL")
     return ratio.select(F.lit("HighErrorRate").alias("rule"), F.col("shard").alias("instance"), "eval_ts", F.col("ratio").alias("value"))
 
 
@@ -151,7 +154,7 @@ def high_error_rate_strict(t):
     rates = t.shard_rates().withColumn(
         "labels", F.create_map(F.lit("event_type"), F.col("event_type"), F.lit("shard"), F.col("shard"))
     )
-    ratio = vectors.divide(rates.filter(ERRORS), rates, ["eval_ts"])
+    ratio = vectors.divide(rates.filter(is_error()), rates, ["eval_ts"])
     return selectors.keep(ratio, ">", 0.05).select(
         F.col("labels")["event_type"].alias("event_type"), F.col("labels")["shard"].alias("shard"), "eval_ts", "value"
     )
@@ -294,7 +297,7 @@ def panel_latency_p95(t):
     doubles="percent",
 )
 def panel_error_pct(t):
-    out = vectors.ratio_of_sums(t.shard_rates(), ERRORS)
+    out = vectors.ratio_of_sums(t.shard_rates(), is_error())
     return out.select("eval_ts", (F.col("ratio") * 100).alias("percent"))
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,3 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     context.setCheckpointDir(named)
     return context.getCheckpointDir()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    Cuts the lineage as a reliable checkpoint does, so a lost executor costs one
+    read. Unlike a checkpoint it is columnar and is planned by its true size;
+    size estimates kept through repeated joins grow without bound.
+    """
+    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
