@@ -12,6 +12,7 @@ from tidewatch.operators import alerts, overtime, quantile, selectors, stats, ve
 from tidewatch.plans.algebra import CUMULATIVE, PHIS, quantile_sql
 from tidewatch.plans.registry import query
 from tidewatch.plans.tables import END, HOUR, START
+from tidewatch.session import settle
 from tidewatch.sources import ingest, read
 
 RULE = {r.name: r for r in RULES}
@@ -28,8 +29,8 @@ def is_error():
     return F.col("event_type").rlike("^(?:err.*)$")
 
 
-def cpu_vector(t):
-    idle = t.shard_rates().filter("event_type = 'view'").withColumn("rate", F.col("value") / 4)
+def cpu_vector(t, rates=None):
+    idle = (rates or t.shard_rates()).filter("event_type = 'view'").withColumn("rate", F.col("value") / 4)
     return vectors.busy_percent(idle, ["shard"]).select(
         F.lit("HighCpuUsage").alias("rule"), F.col("shard").alias("instance"), "eval_ts", F.col("busy").alias("value")
     )
@@ -49,8 +50,8 @@ def disk_vector(t):
     return memory_vector(t, "DiskSpaceLow", "min")
 
 
-def error_vector(t):
-    ratio = vectors.ratio_of_sums(t.shard_rates(), is_error(), ["shard"]).filter("ratio IS NOT NULL")
+def error_vector(t, rates=None):
+    ratio = vectors.ratio_of_sums(rates or t.shard_rates(), is_error(), ["shard"]).filter("ratio IS NOT NULL")
     return ratio.select(F.lit("HighErrorRate").alias("rule"), F.col("shard").alias("instance"), "eval_ts", F.col("ratio").alias("value"))
 
 
@@ -75,9 +76,10 @@ def down_vector(t):
 
 
 def rule_vectors(t):
+    rates = settle(t.shard_rates())  # read by two rules
     return (
-        cpu_vector(t).unionByName(memory_vector(t)).unionByName(disk_vector(t))
-        .unionByName(error_vector(t)).unionByName(latency_vector(t)).unionByName(down_vector(t))
+        cpu_vector(t, rates).unionByName(memory_vector(t)).unionByName(disk_vector(t))
+        .unionByName(error_vector(t, rates)).unionByName(latency_vector(t)).unionByName(down_vector(t))
     )
 
 
