@@ -107,3 +107,13 @@ def test_alert_stream_equals_batch(spark, tmp_path):
     ends = {(r.instance, r.eval_ts) for r in out if r.state == "resolved"}
     # every run that a later step or the watermark has closed is resolved once
     assert ("i0", datetime(1970, 1, 2, 0, 4)) in ends and len(ends) == sum(r.state == "resolved" for r in out)
+
+
+def test_stream_deduplication(spark, tmp_path):
+    rows = [("r", "a", 60, "firing", 0), ("r", "a", 120, "firing", 0), ("r", "b", 60, "firing", 0), ("r", "b", 120, "pending", 60), ("r", "a", 240, "firing", 240)]
+    frame = spark.createDataFrame(rows, "rule string, instance string, e bigint, state string, s bigint").select(
+        "rule", "instance", "state", F.timestamp_seconds(F.col("e") + 86400).alias("eval_ts"), F.timestamp_seconds("s").alias("active_since"))
+    folder = str(tmp_path / "a")
+    frame.coalesce(1).write.parquet(folder)
+    out = run_once(alerts.deduplicate_stream(stream(spark, folder), ["instance"], "1 hour")).collect()
+    assert sorted((r.instance, r.active_since.minute) for r in out) == [("a", 0), ("a", 4), ("b", 0)]

@@ -134,6 +134,19 @@ def silence(alerts: DataFrame, silences: DataFrame) -> DataFrame:
     return attach(alerts, spans, ["rule"], how="left").filter(~F.coalesce(inside, F.lit(False))).drop("_s")
 
 
+def deduplicate(alerts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """One row per firing run: its first and last step and the number of steps."""
+    return alerts.filter("state = 'firing'").groupBy("rule", "severity", *labels, "active_since").agg(
+        F.min("eval_ts").alias("first_ts"), F.max("eval_ts").alias("last_ts"), F.count("*").alias("repeats")
+    )
+
+
+def deduplicate_stream(alerts: DataFrame, labels: Sequence[str], within: str, at: str = "eval_ts") -> DataFrame:
+    """First firing row per rule, label set and run; repeats within the watermark are dropped."""
+    firing = alerts.filter("state = 'firing'").withWatermark(at, within)
+    return firing.dropDuplicatesWithinWatermark(["rule", *labels, "active_since"])
+
+
 def route(alerts: DataFrame, routes: dict[str, str], default: str = "default") -> DataFrame:
     """Receiver by severity."""
     out = F.lit(default)

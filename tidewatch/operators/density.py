@@ -159,11 +159,13 @@ def dbscan(
     edges = core.select(node(1, space.cell(shift=0.5)).alias("a"), node(0, F.col("cell")).alias("b")).distinct()
     parts = components(edges).filter("node.grid = 0")
     labelled = parts.select(*[F.col(f"node.{c}").alias(c) for c in scope], F.col("node.cell").alias("cell"), "component")
-    merged = components(_links(space, core, labelled))
-    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("_to"))
-    final = attach(labelled, merged, ["component"], how="left")
-    final = final.select(*scope, "cell", F.coalesce("_to", "component").alias("component"))
-    core = attach(core, final, [*scope, "cell"]).withColumn("_c", F.to_json("component"))
+    links = _links(space, core, labelled)
+    if not links.isEmpty():
+        merged = components(links).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+        labelled = attach(labelled, merged, ["component"], how="left").select(
+            *scope, "cell", F.coalesce("_to", "component").alias("component")
+        )
+    core = attach(core, labelled, [*scope, "cell"]).withColumn("_c", F.to_json("component"))
     firsts = core.groupBy(*scope, "_c").agg(F.min("first").alias("_first"))
     ranks = number_rows(firsts, scope, ["_first", "_c"], rn="_rank").select(*scope, "_c", (F.col("_rank") - 1).alias("cluster"))
     core = settle(attach(core, ranks, [*scope, "_c"]).select(*scope, "sid", "cell", *features, "cluster"))

@@ -30,7 +30,7 @@ def is_error():
 
 
 def cpu_vector(t, rates=None):
-    idle = (rates or t.shard_rates()).filter("event_type = 'view'").withColumn("rate", F.col("value") / 4)
+    idle = (t.shard_rates() if rates is None else rates).filter("event_type = 'view'").withColumn("rate", F.col("value") / 4)
     return vectors.busy_percent(idle, ["shard"]).select(
         F.lit("HighCpuUsage").alias("rule"), F.col("shard").alias("instance"), "eval_ts", F.col("busy").alias("value")
     )
@@ -51,7 +51,7 @@ def disk_vector(t):
 
 
 def error_vector(t, rates=None):
-    ratio = vectors.ratio_of_sums(rates or t.shard_rates(), is_error(), ["shard"]).filter("ratio IS NOT NULL")
+    ratio = vectors.ratio_of_sums(t.shard_rates() if rates is None else rates, is_error(), ["shard"]).filter("ratio IS NOT NULL")
     return ratio.select(F.lit("HighErrorRate").alias("rule"), F.col("shard").alias("instance"), "eval_ts", F.col("ratio").alias("value"))
 
 
@@ -253,6 +253,17 @@ def alert_silence(t):
     return alerts.silence(rows, table).select("rule", "instance", "eval_ts", "state")
 
 
+@query(
+    "alert_dedup",
+    f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')} SELECT rule, instance, min(eval_ts) AS first_ts, max(eval_ts) AS last_ts,
+    count(*) AS repeats FROM states WHERE state = 'firing' GROUP BY rule, instance, active_since""",
+    uses="hourly_grid gauge evals",
+)
+def alert_dedup(t):
+    rows = alerts.alert_states(down_vector(t).unionByName(memory_vector(t)), HOURLY, ["instance"], HOUR)
+    return alerts.deduplicate(rows, ["instance"]).select("rule", "instance", "first_ts", "last_ts", "repeats")
+
+
 @query(
     "alert_route",
     f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')} SELECT rule, instance, eval_ts,
