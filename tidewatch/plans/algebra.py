@@ -376,7 +376,7 @@ def _flagged(t):
     "normal_baseline",
     f"WITH f AS ({FLAGGED}) SELECT "
     + ", ".join(f'avg("{k}") AS {k}_mean, stddev_samp("{k}") AS {k}_std' for k in KINDS)
-    + " FROM f WHERE NOT is_anomaly",
+    + " FROM f WHERE NOT is_anomaly HAVING count(*) > 0",
     uses="wide_hours",
     doubles=" ".join(f"{k}_{s}" for k in KINDS for s in ("mean", "std")),
 )
