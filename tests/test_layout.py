@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tidewatch.layout import attach, exact_quantiles, number_rows, windowed
 
 
+@pytest.fixture(scope="module", autouse=True)
+def many_ranges(spark):
+    """Keep the ranges of a small sort apart, so that keys span several."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)
+
+
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One key holds most rows; many share a time."""

@@ -30,9 +30,9 @@ def arrange(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFra
     shared folder: every later use sees the same ones, also after an executor
     is lost.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = [F.col(c) for c in (*keys, *order)]
-    ranges = df.repartitionByRange(parts, *columns).sortWithinPartitions(*columns)
+    # no explicit number: adaptive execution merges small neighbouring ranges, which keeps their order
+    ranges = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
     return settle(ranges.withColumn("_pos", F.monotonically_increasing_id()))
 
 

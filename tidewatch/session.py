@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+DEFAULT_PARTITIONS = "200"
 
 
 def get_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,6 +26,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Pin the timezone and make sure a reliable checkpoint folder is known."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == DEFAULT_PARTITIONS:
+        # a cluster's default; one process has no use for more partitions than threads
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     shared_dir(spark)
     return spark
 
