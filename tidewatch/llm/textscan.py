@@ -158,11 +158,10 @@ def anchors(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
     at = (least & ~mask).astype(np.int64)
     rows = np.flatnonzero(last >= first)
     lens = (last - first + 1)[rows]
-    own = np.zeros(len(at), bool)
     row_begin = first[rows]
     mark = np.zeros(len(at) + 1, np.int32)
-    np.add.at(mark, row_begin, 1)
-    np.add.at(mark, row_begin + lens, -1)
+    mark[row_begin] += 1
+    mark[row_begin + lens] -= 1
     own = np.cumsum(mark[:-1]) > 0
     new = np.zeros(len(at), bool)
     new[0] = True
@@ -170,7 +169,6 @@ def anchors(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
     new[row_begin] = True
     new &= own
     begin = np.flatnonzero(new)
-    ends = new.copy()
     stop = np.zeros(len(at) + 1, bool)
     stop[begin] = True
     stop[row_begin + lens] = True
