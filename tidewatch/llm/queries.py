@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, lz, mixing, repair, suffix
+from tidewatch.llm import bpe, lines, lz, mixing, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,14 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.report(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_line_dedup"] = lines.ORACLE
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), vocabulary(RANKS), pattern())
