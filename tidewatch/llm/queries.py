@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import bpe, lines, lz, mixing, repair, suffix
+from tidewatch.llm import ann, bpe, lines, lz, mixing, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return found.select("doc_id", "quality_score", "keep")
+
+
+@query
+def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"))
