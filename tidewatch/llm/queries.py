@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import ann, bpe, lines, lz, mixing, quality, repair, suffix
+from tidewatch.llm import ann, bpe, lines, lz, mixing, neighbours, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,6 +58,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op5_line_dedup"] = lines.ORACLE
 
 
+@query
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read(spark, sf_dir, "documents"), vocabulary(RANKS), pattern())
