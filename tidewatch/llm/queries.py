@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import ann, bpe, lines, lz, mixing, neighbours, quality, repair, suffix
+from tidewatch.llm import ann, bpe, jaccard, lines, lz, mixing, neighbours, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.round_trip(read(spark, sf_dir, "documents"), vocabulary(TOKENIZER))
