@@ -5,15 +5,17 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tidewatch.llm import textscan
 from tidewatch.llm.pretoken import slices
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 
 
 class WordCache:
@@ -83,20 +85,22 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def encoder(ranks: dict[bytes, int], pattern: str) -> WordCache:
-    """Pair merging by rank, a slice at a time, as the public library merges."""
+@cache
+def encoder(ranks_path: str, pattern: str) -> WordCache:
+    """Pair merging by rank, a slice at a time, as the public library merges. One cache to a worker."""
     import tiktoken
 
+    ranks = read_ranks(ranks_path)
     one = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
     return WordCache(lambda words: [one(w) for w in words])
 
 
-def encode_rows(cache: WordCache, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def encode_rows(known: WordCache, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, ids, ends of the rows' ids)`` of runs of rows."""
     for i, j in textscan.groups_of(offsets):
         part = data[offsets[i] : offsets[j]]
         starts, first = slices(part, offsets[i : j + 1] - offsets[i])
-        ids, counts = cache.encode(part, starts)
+        ids, counts = known.encode(part, starts)
         ends = np.append(0, np.cumsum(counts))[first]
         yield i, ids, ends
 
@@ -109,13 +113,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", i
     """
     keep = [c for c in docs.columns if c != ids]
     source = docs.select(*keep)
-    schema = source.schema.add(ids, "array<int>")
+    schema = T.StructType([*source.schema, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        cache = encoder(read_ranks(ranks_path), pattern)
+        known = encoder(ranks_path, pattern)
         for batch in batches:
             data, offsets = textscan.column_bytes(batch.column(keep.index(text)))
-            pieces = [(part, np.diff(ends)) for _, part, ends in encode_rows(cache, data, offsets)]
+            pieces = [(part, np.diff(ends)) for _, part, ends in encode_rows(known, data, offsets)]
             flat = np.concatenate([p for p, _ in pieces]) if pieces else np.zeros(0, np.int32)
             lens = np.concatenate([n for _, n in pieces]) if pieces else np.zeros(0, np.int64)
             column = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)), pa.int32()), pa.array(flat, pa.int32()))
@@ -146,7 +150,7 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "ids", out: str = "byt
     """``tokens`` with ``out``, the bytes that ``ids`` stand for (empty for null)."""
     keep = [c for c in tokens.columns if c != out]
     source = tokens.select(*keep)
-    schema = source.schema.add(out, "binary")
+    schema = T.StructType([*source.schema, T.StructField(out, T.BinaryType())])
 
     def run(batches):
         pool, begin = token_bytes(read_ranks(ranks_path))
@@ -158,21 +162,20 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "ids", out: str = "byt
     return source.mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode and decode in one pass: ``key, n_tokens, ids_sha256, decoded_sha256``."""
+def digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode and decode in one pass: ``key, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``."""
     source = docs.select(key, text)
     kind = source.schema[key].dataType.simpleString()
 
     def run(batches):
-        ranks = read_ranks(ranks_path)
-        cache, (pool, begin) = encoder(ranks, pattern), token_bytes(ranks)
+        known, (pool, begin) = encoder(ranks_path, pattern), token_bytes(read_ranks(ranks_path))
         shown = np.array([str(i).encode() + b"," for i in range(len(begin) - 1)], object)
         shown_pool = np.frombuffer(b"".join(shown), np.uint8)
         shown_at = np.append(0, np.cumsum([len(x) for x in shown]))
         for batch in batches:
             data, offsets = textscan.column_bytes(batch.column(1))
-            counts, written, decoded = [], [], []
-            for _, ids, ends in encode_rows(cache, data, offsets):
+            counts, written, decoded, every = [], [], [], [np.zeros(0, np.int32)]
+            for _, ids, ends in encode_rows(known, data, offsets):
                 plain, said = decode_ids(pool, begin, ids), decode_ids(shown_pool, shown_at, ids)
                 at = np.append(0, np.cumsum(begin[ids + 1] - begin[ids]))[ends]
                 to = np.append(0, np.cumsum(shown_at[ids + 1] - shown_at[ids]))[ends]
@@ -180,9 +183,13 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
                     written.append(hashlib.sha256(said[to[r] : max(to[r], to[r + 1] - 1)]).hexdigest())
                     decoded.append(hashlib.sha256(plain[at[r] : at[r + 1]]).hexdigest())
                 counts.extend(np.diff(ends).tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())],
-                names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return source.mapInArrow(run, f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+                if with_ids:
+                    every.append(ids)
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(np.concatenate(every), pa.int32())))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+    schema = f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return source.mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))

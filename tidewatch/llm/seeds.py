@@ -88,7 +88,8 @@ def on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     """Join by ``doc_id`` (null too) and ``tag``; ``right`` gives its other columns."""
     other = right.withColumnsRenamed({"doc_id": "_doc", "tag": "_tag"})
     same = left["doc_id"].eqNullSafe(other["_doc"]) & (left["tag"] == other["_tag"])
-    return left.join(other, same, how).drop("_doc", "_tag")
+    joined = left.join(other, same, how)
+    return joined if how == "left_semi" else joined.drop("_doc", "_tag")
 
 
 def _grams(docs: DataFrame, windows) -> DataFrame:
