@@ -131,6 +131,8 @@ def mix(
         .join(chosen, ["_group", "_size"])
         .withColumn("_bin", F.floor(F.col("_rank") * bins / (1 << 40)))
     )
+    # dealt anew by bin, so that the join before it may split a size that many documents share
+    placed = placed.repartition("_group", "_size", "_bin")
     by_size = Window.partitionBy("_group", "_size")
     cuts = placed.groupBy("_group", "_size", "_bin").agg(F.count("*").alias("_here"))
     before = F.sum("_here").over(by_size.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
