@@ -27,10 +27,12 @@ def _chunked(docs: DataFrame, text: str, mean_lines: int) -> DataFrame:
     placed = marked.withColumn("_ends", F.array_compact(ends))
     start = F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.greatest(F.size("_ends") - 1, F.lit(0))))
     spans = placed.withColumn("_spans", F.arrays_zip(start.alias("a"), F.col("_ends").alias("b")))
-    # the lines are named twice, so the optimiser does not move their making into the lambda
-    chunk = F.transform(
-        "_spans", lambda s: F.struct((s["b"] - s["a"]).alias("n"), F.array_join(F.slice("_lines", s["a"] + 1, s["b"] - s["a"]), "\n").alias("body"))
-    )
+    # the lines are named twice, so the optimiser does not move their making into the lambda;
+    # they are picked one by one, because a slice copies the whole array first
+    def body(s):
+        return F.array_join(F.transform(F.sequence(s["a"] + 1, s["b"]), lambda i: F.element_at("_lines", i)), "\n")
+
+    chunk = F.transform("_spans", lambda s: F.struct((s["b"] - s["a"]).alias("n"), body(s).alias("body")))
     return spans.withColumn("_chunks", F.when(F.size("_lines") > 0, chunk)).drop("_hash", "_cut", "_ends", "_spans")
 
 
@@ -45,7 +47,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_lines:
     columns = [c for c in docs.columns if c not in ("n_lines", "lines_removed")]
     tagged = docs.select(*columns, F.xxhash64(F.col(text)).alias("_tag"))
     place = F.struct(F.col(key).isNull().alias("z"), F.col(key).alias("k"), F.col("_tag").alias("t"), F.col("_c").alias("c"))
-    chunks = _chunked(tagged.select(key, "_tag", text), text, mean_lines).select(key, "_tag", F.posexplode("_chunks").alias("_c", "_chunk")).filter("_chunk.n > 1")
+    # outer: a plain explode would have its input tested for emptiness below all projections, which repeats them
+    chunks = _chunked(tagged.select(key, "_tag", text), text, mean_lines).select(key, "_tag", F.posexplode_outer("_chunks").alias("_c", "_chunk")).filter("_chunk.n > 1")
     chunks = chunks.select(place.alias("at"), F.col("_chunk.n").alias("n"), F.col("_chunk.body").alias("body"))
     chunks = chunks.withColumn("h", F.xxhash64("body"))
     often = chunks.groupBy("h").agg(F.count("*").alias("times")).filter("times > 1").select("h")
@@ -59,7 +62,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", mean_lines:
     left = tagged.join(gone, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_tag") == F.col("_t")), "left")
     kept = F.filter("_chunks", lambda c, i: ~F.array_contains("_gone", i))
     count = F.aggregate("_kept", F.lit(0), lambda s, c: s + c["n"])
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines"))
+    # never null; the row number keeps filters of the result from being computed anew below all projections
+    number = F.monotonically_increasing_id() >= 0
+    n_lines = F.when(number, F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")))
     done = _chunked(left, text, mean_lines).withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
     return done.select(
         *[F.when(F.col("_kept").isNotNull(), F.array_join(F.transform("_kept", lambda c: c["body"]), "\n")).otherwise(F.col(text)).alias(text)
