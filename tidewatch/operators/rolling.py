@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import BLOCK_ROWS, attach, exact_quantiles, windowed
+from tidewatch.layout import BLOCK_ROWS, attach, exact_quantiles, join_keys, windowed
 
 
 def _guarded(w, value: str, rows: int) -> tuple[Column, Column]:
@@ -80,7 +80,7 @@ def median_mad(df: DataFrame, by: Sequence[str]) -> DataFrame:
     distance = attach(df.select(*by, "value"), middle, by).select(
         *by, F.abs(F.col("value") - F.col("median")).alias("value")
     )
-    return middle.join(exact_quantiles(distance, by, "value", {"mad": 0.5}), list(by))
+    return join_keys(middle, exact_quantiles(distance, by, "value", {"mad": 0.5}), by)
 
 
 def modified_zscore(df: DataFrame, by: Sequence[str], limit: float = 3.0) -> DataFrame:
