@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import attach, number_rows
+from tidewatch.layout import attach, join_keys, number_rows
 from tidewatch.model import SEASONS, Seasonality, from_micros, micros, span_us
 
 CHANGEPOINTS = 25
@@ -51,7 +51,7 @@ def _frames(df: DataFrame, by: Sequence[str], count: int) -> DataFrame:
         F.min(micros("ts")).alias("_first"), F.max(micros("ts")).alias("_last"), F.max(F.abs("value")).alias("_scale")
     )
     points = changepoints(df, by, count).groupBy(*by).agg(F.array_sort(F.collect_list(micros("ts"))).alias("_cp"))
-    return spans.join(points, list(by), "left").withColumn(
+    return join_keys(spans, points, by, "left").withColumn(
         "_cp",
         F.transform(
             F.coalesce("_cp", F.array().cast("array<bigint>")),
@@ -124,7 +124,7 @@ def fit_additive(
             yield pd.DataFrame(out, columns=[*keys, "_beta", "_sigma", "n"])
 
     solved = grams.mapInPandas(solve, f"{head}, _beta array<double>, _sigma double, n bigint")
-    return solved.filter(F.col("n") >= minimum).join(frames, keys)
+    return join_keys(solved.filter(F.col("n") >= minimum), frames, keys)
 
 
 def predict_additive(

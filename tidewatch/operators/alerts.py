@@ -158,7 +158,7 @@ def route(alerts: DataFrame, routes: dict[str, str], default: str = "default") -
 def target_health(up: DataFrame, by: Sequence[str], now: datetime, stale: timedelta = timedelta(minutes=5)) -> DataFrame:
     """Last ``up`` value per target, seconds since it was last up, and up / down / stale."""
     seen = up.groupBy(*by).agg(
-        F.max_by("value", "ts").alias("up"), F.max("ts").alias("last_sample"),
+        F.max_by("value", F.struct("ts", "value")).alias("up"), F.max("ts").alias("last_sample"),
         F.max(F.when(F.col("value") == 1, F.col("ts"))).alias("last_up"),
     )
     age = (micros(F.lit(now)) - micros("last_sample")) / F.lit(1e6)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import attach, number_rows
+from tidewatch.layout import attach, join_keys, number_rows
 from tidewatch.model import micros
 from tidewatch.operators.linear import fitted_at, linear_fit
 from tidewatch.operators.smoothing import final_states, fit_smoothing
@@ -21,7 +21,7 @@ def split_now(forecast: DataFrame, history: DataFrame, by: Sequence[str]) -> Dat
 
 def with_actuals(forecast: DataFrame, actual: DataFrame, by: Sequence[str]) -> DataFrame:
     """Inner join on series and time; both sides have one row per time."""
-    return forecast.join(actual.select(*by, "ts", "value"), [*by, "ts"])
+    return join_keys(forecast, actual.select(*by, "ts", "value"), [*by, "ts"])
 
 
 def interval_anomalies(rows: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.trees import grow, score
-from tidewatch.layout import attach, exact_quantiles
+from tidewatch.layout import attach, exact_quantiles, join_keys
 from tidewatch.operators.vectors import topk
 from tidewatch.session import settle
 
@@ -37,22 +37,21 @@ def _sizes(df: DataFrame, scope: Sequence[str]) -> DataFrame:
 def tree_samples(
     df: DataFrame, scope: Sequence[str], key: Sequence[str], features: Sequence[str], trees: int, seed: int, sample: int = SAMPLE
 ) -> DataFrame:
-    """``min(sample, n)`` rows per scope and tree.
+    """``min(sample, n)`` rows per scope and tree, each tree's drawn from all rows.
 
-    A pool of at most ``trees * sample`` rows is cut first with one hash per
-    row; the trees then draw from the pool.
+    The hash of a row is a place on a circle and tree ``t`` looks at an arc of
+    it that begins at ``t / trees`` and holds about four samples, so a row is
+    copied to the few trees that see it only. Each tree takes the first of its
+    arc by a hash of its own.
     """
-    pool_size = trees * sample
     rows = attach(df.select(*scope, *key, *features), _sizes(df, scope), scope)
-    rows = rows.withColumn("_h", _share(*key, F.lit(seed)))
-    near = rows.filter(F.col("_h") < F.lit(2.0 * pool_size) / F.col("_n"))
+    place = _share(*key, F.lit(seed)) * trees
+    arc = F.least(F.lit(float(trees)), F.lit(4.0 * sample * trees) / F.col("_n"))
+    rows = rows.withColumns({"_at": F.floor(place), "_seen": F.ceil(arc - (place - F.floor(place))).cast("int")}).filter("_seen > 0")
+    tree = F.pmod(F.col("_at") - F.col("_k"), F.lit(trees)).cast("int")
+    drawn = rows.withColumn("_k", F.explode(F.sequence(F.lit(0), F.least("_seen", F.lit(trees)) - 1))).withColumn("tree", tree)
+    drawn = drawn.withColumn("_h", _share(*key, "tree", F.lit(seed)))
     order = [F.col("_h"), *[F.col(k) for k in key]]
-    pool = topk(near, pool_size, order, at=scope).drop("rank")
-    drawn = (
-        pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_h", _share(*key, "tree", F.lit(seed)))
-        .filter(F.col("_h") < F.lit(4.0 * sample) / F.least(F.col("_n"), F.lit(pool_size)))
-    )
     return topk(drawn, sample, order, at=[*scope, "tree"]).select(*scope, "tree", "rank", "_n", *features)
 
 
@@ -89,7 +88,7 @@ def score_rows(
     scope, features = list(scope), list(features)
     sizes = _sizes(df, scope).withColumn("_blocks", F.ceil(F.col("_n") / F.lit(block_rows))).drop("_n")
     rows = attach(df, sizes, scope).withColumn("_blk", F.pmod(F.xxhash64(*key), F.col("_blocks"))).drop("_blocks")
-    copies = forest.join(sizes, scope).withColumn("_blk", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    copies = join_keys(forest, sizes, scope).withColumn("_blk", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     copies = copies.withColumn("_blk", F.col("_blk").cast("bigint")).drop("_blocks")
     columns = df.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", score double"

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.layout import attach, number_rows
+from tidewatch.layout import attach, join_keys, number_rows
 from tidewatch.model import from_micros, micros, point_us, span_us
 
 
@@ -31,7 +31,7 @@ def asof_grid(
         samples.select(*by, micros("ts").alias("_us"), "value")
         .withColumn("_p", us + F.pmod(-us, F.lit(step)))
         .groupBy(*by, "_p")
-        .agg(F.max("_us").alias("_lu"), F.max_by("value", "_us").alias("_lv"))
+        .agg(F.max("_us").alias("_lu"), F.max_by("value", F.struct("_us", "value")).alias("_lv"))
     )
     reach = F.col("_lu") + (lookback - 1)
     first, last = F.col("_p"), reach - F.pmod(reach, F.lit(step))
@@ -42,7 +42,7 @@ def asof_grid(
     return (
         latest.withColumn("_t", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(step)))))
         .groupBy(*by, "_t")
-        .agg(F.max_by("_lv", "_lu").alias("value"))
+        .agg(F.max_by("_lv", F.struct("_lu", "_lv")).alias("value"))
         .select(*by, from_micros("_t").alias("eval_ts"), "value")
     )
 
@@ -55,7 +55,7 @@ def instant(
     return (
         samples.filter((us <= t) & (us > t - span_us(lookback)))
         .groupBy(*by)
-        .agg(F.max_by("value", "ts").alias("value"), F.max("ts").alias("ts"))
+        .agg(F.max_by("value", F.struct("ts", "value")).alias("value"), F.max("ts").alias("ts"))
     )
 
 
@@ -86,7 +86,7 @@ def regularize(samples: DataFrame, by: Sequence[str], every: timedelta) -> DataF
         .filter("k IS NOT NULL")
         .groupBy(*by, "k")
         .agg(
-            F.max_by("value", "_us").alias("value"),
+            F.max_by("value", F.struct("_us", "value")).alias("value"),
             F.min("_from").alias("_from"),
             F.floor((F.max("_to") - F.max("_from")) / F.lit(width)).alias("_kmax"),
         )
@@ -108,7 +108,7 @@ def complete_grid(points: DataFrame, by: Sequence[str], every: timedelta) -> Dat
         .select(*by, F.explode(F.sequence("_a", "_b", F.lit(width))).alias("_us"))
         .select(*by, from_micros("_us").alias("ts"))
     )
-    return steps.join(points, [*by, "ts"], "left")
+    return join_keys(steps, points, [*by, "ts"], "left")
 
 
 def wide(points: DataFrame, at: str, metric: str, names: Sequence[str], scope: Sequence[str] = ()) -> DataFrame:

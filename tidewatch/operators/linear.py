@@ -34,7 +34,7 @@ def linear_fit(df: DataFrame, by: Sequence[str], value: str = "value") -> DataFr
         F.sqrt(F.var_pop(y) * F.greatest(1 - r2, F.lit(0.0))).alias("rmse"),
         F.min(us).alias("_first"),
         F.max(us).alias("_last"),
-        F.max_by(y, us).alias("last_value"),
+        F.max_by(y, F.struct(us.alias("t"), (F.col(y) if isinstance(y, str) else y).alias("y"))).alias("last_value"),
     )
     return out.select(
         *by,

@@ -18,7 +18,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import windowed
+from tidewatch.layout import join_keys, windowed
 from tidewatch.model import from_micros, micros, point_us, span_us
 
 SECOND = 1_000_000
@@ -84,7 +84,7 @@ def over_time(
     if "stddev" in stats:
         partials["_m2"] = F.var_pop("value") * F.count("value")
     if "last" in stats:
-        partials["_lu"], partials["_lv"] = F.max("_us"), F.max_by("value", "_us")
+        partials["_lu"], partials["_lv"] = F.max("_us"), F.max_by("value", F.struct("_us", "value"))
     rows = _grid(samples, by, span, step, start, end, {}, partials)
 
     total = {"count": F.sum("_n")}
@@ -95,7 +95,7 @@ def over_time(
     if "min" in stats:
         total["min"] = F.min("_lo")
     if "last" in stats:
-        total["last"] = F.max_by("_lv", "_lu")
+        total["last"] = F.max_by("_lv", F.struct("_lu", "_lv"))
     if "stddev" in stats:
         # at most one entry per pane and edge of the frame
         total["_parts"] = F.collect_list(F.struct("_n", "_s", "_m2"))
@@ -201,16 +201,16 @@ def counter_over_time(
         "_n": F.count("value"),
         "_sum": F.sum("delta"),
         "_fu": F.min("_us"),
-        "_fv": F.min_by("value", "_us"),
-        "_fd": F.min_by("delta", "_us"),
+        # value and rise of one and the same first sample
+        "_first": F.min(F.struct("_us", "value", "delta")),
         "_lu": F.max("_us"),
     }
     panes = _grid(rows, by, span, step, start, end, {"delta": F.col("delta")}, partials)
     merged = panes.groupBy(*by, "_t").agg(
         F.sum("_n").alias("_n"),
-        (F.sum("_sum") - F.min_by("_fd", "_fu")).alias("_rise"),
+        (F.sum("_sum") - F.min("_first")["delta"]).alias("_rise"),
         F.min("_fu").alias("_fu"),
-        F.min_by("_fv", "_fu").alias("_fv"),
+        F.min("_first")["value"].alias("_fv"),
         F.max("_lu").alias("_lu"),
     ).filter("_n >= 2")
     seconds = span_us(span) / SECOND
@@ -250,6 +250,6 @@ def std_band(
 
     now = asof_grid(samples, by, step, lookback, start, end)
     past = over_time(samples, by, span, step, ("avg", "stddev"), start, end)
-    return now.join(past, [*by, "eval_ts"]).withColumn(
+    return join_keys(now, past, [*by, "eval_ts"]).withColumn(
         "outside", F.abs(F.col("value") - F.col("avg")) > k * F.col("stddev")
     )

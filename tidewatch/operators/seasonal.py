@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import BLOCK_ROWS, attach, number_rows, windowed
+from tidewatch.layout import BLOCK_ROWS, attach, join_keys, number_rows, windowed
 
 LONGEST = 24
 
@@ -37,7 +37,7 @@ def _trend_by_parts(rows: DataFrame, by: Sequence[str], order: Sequence[str]) ->
     )
     full = F.col("_c") == 2 * half + 1
     return (
-        rows.join(parts, [*by, "rn"], "left")
+        join_keys(rows, parts, [*by, "rn"], "left")
         .withColumn("trend", F.when(full, F.col("_s") / F.col("period")))
         .drop("_s", "_c")
     )
@@ -68,7 +68,7 @@ def seasonal_decompose(
     # one row per series and phase
     phases = rows.groupBy(*by, "phase").agg(F.avg(F.col("value") - F.col("trend")).alias("_raw"))
     centre = phases.groupBy(*by).agg(F.avg("_raw").alias("_centre"))
-    season = phases.join(centre, list(by)).select(*by, "phase", (F.col("_raw") - F.col("_centre")).alias("seasonal"))
+    season = join_keys(phases, centre, by).select(*by, "phase", (F.col("_raw") - F.col("_centre")).alias("seasonal"))
     return attach(rows, season, [*by, "phase"]).withColumn(
         "residual", F.col("value") - F.col("trend") - F.col("seasonal")
     )

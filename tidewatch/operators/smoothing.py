@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.layout import join_keys
 from tidewatch.model import from_micros, micros, span_us
 
 COARSE = tuple(round(0.05 + 0.1 * i, 2) for i in range(10))
@@ -36,13 +37,14 @@ def run_recurrence(y, alpha, beta, gamma, m: int, multiplicative: bool = False,
     width = len(alpha)
     level, trend = np.full(width, level), np.full(width, trend)
     season = np.repeat(season[:, None], width, axis=1)
-    error, steps = np.zeros(width), []
+    error, drift, steps = np.zeros(width), np.zeros(width), []
     seasonal = m > 1
     for t, value in enumerate(y):
         place = t % m if seasonal else 0
         s, base = season[place], level + trend
         fitted = base * s if multiplicative else base + s
         error += (value - fitted) ** 2
+        drift += value - fitted
         level_was = level
         level = alpha * (value / s if multiplicative else value - s) + (1 - alpha) * base
         trend = beta * (level - level_was) + (1 - beta) * trend
@@ -50,7 +52,7 @@ def run_recurrence(y, alpha, beta, gamma, m: int, multiplicative: bool = False,
             season[place] = gamma * (value / base if multiplicative else value - base) + (1 - gamma) * s
         if trace:
             steps.append((fitted[0], level[0], trend[0]))
-    return level, trend, season, error, steps
+    return level, trend, season, error, drift, steps
 
 
 def _arrays(df: DataFrame, by: Sequence[str], minimum: int) -> DataFrame:
@@ -103,20 +105,26 @@ def _score(arrays: DataFrame, by: Sequence[str], m: int, multiplicative: bool) -
             out = []
             for row in frame.to_dict("records"):
                 params = np.array([list(p) for p in row["_params"]])
-                level, trend, season, error, _ = run_recurrence(np.asarray(row["_y"]), *params.T, m, multiplicative)
+                level, trend, season, error, drift, _ = run_recurrence(np.asarray(row["_y"]), *params.T, m, multiplicative)
                 error = np.where(np.isfinite(error), error, np.inf)
                 pick = int(np.argmin(error))
                 out.append(
-                    [*(row[c] for c in by), *params[pick], error[pick], level[pick], trend[pick], season[:, pick].tolist()]
+                    [*(row[c] for c in by), *params[pick], error[pick], drift[pick], level[pick], trend[pick], season[:, pick].tolist()]
                 )
-            yield pd.DataFrame(out, columns=[*by, "alpha", "beta", "gamma", "sse", "level", "trend", "season"])
+            yield pd.DataFrame(out, columns=[*by, "alpha", "beta", "gamma", "sse", "residual_sum", "level", "trend", "season"])
 
     return arrays.select(*by, "_y", "_params").mapInPandas(
         best,
-        f"{keys}, alpha double, beta double, gamma double, sse double, level double, trend double, season array<double>",
+        f"{keys}, alpha double, beta double, gamma double, sse double, residual_sum double, level double, trend double, season array<double>",
     )
 
 
+def _spread():
+    """Sample deviation of the residuals about their own mean."""
+    n = F.col("n")
+    return F.sqrt(F.greatest(F.try_divide(F.col("sse") - F.col("residual_sum") * F.col("residual_sum") / n, n - 1), F.lit(0.0)))
+
+
 def _grid(a, b, g):
     """All combinations of three arrays of parameter values, as an array column."""
     return F.flatten(
@@ -148,14 +156,14 @@ def fit_smoothing(
         F.array(*[F.lit(d * step) for d in (-2, -1, 0, 1, 2)]),
         lambda d: F.greatest(F.lit(0.001), F.least(F.lit(0.999), F.col(c) + d)),
     )
-    second = arrays.join(rough, list(by))
+    second = join_keys(arrays, rough, by)
     third = near("_p.gamma") if m > 1 else F.array(F.lit(0.0))
     second = second.withColumn("_params", _grid(near("_p.alpha"), near("_p.beta"), third)).repartition(parts, *by)
     fine = _score(second, by, m, multiplicative)
     k = (4 + m + 1) if m > 1 else 4
-    out = arrays.select(*by, "n", from_micros("_last").alias("last_ts")).join(fine, list(by))
+    out = join_keys(arrays.select(*by, "n", from_micros("_last").alias("last_ts")), fine, by)
     aic = F.col("n") * F.log(F.when(F.col("sse") > 0, F.col("sse") / F.col("n"))) + 2 * k
-    return out.withColumns({"aic": aic, "residual_std": F.sqrt(F.try_divide(F.col("sse"), F.col("n") - 1))})
+    return out.withColumns({"aic": aic, "residual_std": _spread()})
 
 
 def forecast(
@@ -183,8 +191,5 @@ def final_states(
     arrays = _arrays(df, by, max(2 * m, 2))
     params = F.array(F.array(F.lit(alpha), F.lit(beta), F.lit(gamma)))
     scored = _score(arrays.withColumn("_params", params), by, m, multiplicative)
-    return (
-        arrays.select(*by, "n", from_micros("_last").alias("last_ts"))
-        .join(scored, list(by))
-        .withColumn("residual_std", F.sqrt(F.try_divide(F.col("sse"), F.col("n") - 1)))
-    )
+    known = arrays.select(*by, "n", from_micros("_last").alias("last_ts"))
+    return join_keys(known, scored, by).withColumn("residual_std", _spread())

@@ -137,4 +137,4 @@ def anomaly_rate(df: DataFrame, by: Sequence[str], flag: str = "is_anomaly") ->
 
 
 def latest(df: DataFrame, by: Sequence[str], order: str = "ts", value: str = "value") -> DataFrame:
-    return df.groupBy(*by).agg(F.max_by(value, order).alias(value), F.max(order).alias(order))
+    return df.groupBy(*by).agg(F.max_by(value, F.struct(order, value)).alias(value), F.max(order).alias(order))

@@ -40,7 +40,7 @@ def gauge(events: DataFrame, by: Sequence[str], every: timedelta, value: str = "
     return (
         events.withColumn("_t", scrape_time(every))
         .groupBy(*by, "_t")
-        .agg(F.max_by(value, "ts").alias("value"))
+        .agg(F.max_by(value, F.struct("ts", value)).alias("value"))
         .withColumnRenamed("_t", "ts")
     )
 
