@@ -107,32 +107,56 @@ def _windows_of(bodies: list[bytes], size: int):
     return np.frombuffer(b"".join(bodies), np.uint8), offsets[owner] + offset, owner, offset
 
 
-def _in_bucket(rows: list[tuple], size: int) -> pa.RecordBatch | None:
-    """Spans of the windows that the suffixes of whole runs repeat."""
-    if len(rows) < 2:
+def _spans(rows: list[tuple], owner: np.ndarray, start: np.ndarray, size: int) -> pa.RecordBatch | None:
+    """Windows of ``rows`` as united spans of their documents."""
+    if not len(owner):
         return None
-    data, starts, owner, offset = _windows_of([r[3] for r in rows], size)
-    key = textscan.gram_hash(textscan.byte_sums(data), size)[starts]
-    _, back, count = np.unique(key, return_inverse=True, return_counts=True)
-    likely = np.flatnonzero(count[back] > 1)
-    same = likely[multikey(data, starts[likely], size) >= 0]
-    if not len(same):
-        return None
-    begin = np.fromiter((r[2] for r in rows), np.int64, len(rows))[owner[same]] + offset[same]
-    found = [(rows[o][0], rows[o][1], blob) for o, blob in seeds.by_owner(owner[same], begin, begin + size)]
+    found = [(rows[o][0], rows[o][1], blob) for o, blob in seeds.by_owner(owner, start, start + size)]
     return pa.RecordBatch.from_pylist([{"doc_id": d, "tag": t, "spans": s} for d, t, s in found], schema=_FOUND)
 
 
-def _across(rows: list[tuple], size: int) -> pa.RecordBatch:
-    """Hashes of all windows of a run that other buckets may hold too."""
+def _equal_bodies(rows: list[tuple]):
+    """Of stretches with the same bytes one, with a mark; the others and it are repeats as a whole."""
+    first: dict[bytes, int] = {}
+    again = []
+    for k, row in enumerate(rows):
+        if (lead := first.setdefault(row[3], k)) != k:
+            again += [k, lead]
+    marked = set(again)
+    kept = [(*rows[k][:4], rows[k][4] or k in marked) for k in first.values()]
+    owner = np.array(sorted(marked), np.int64)
+    begin = np.array([rows[k][2] for k in owner], np.int64)
+    length = np.array([len(rows[k][3]) for k in owner], np.int64)
+    blobs = [(rows[o][0], rows[o][1], np.array([a, a + n], "<i8").tobytes()) for o, a, n in zip(owner, begin, length)]
+    done = pa.RecordBatch.from_pylist([{"doc_id": d, "tag": t, "spans": s} for d, t, s in blobs], schema=_FOUND) if blobs else None
+    return kept, done
+
+
+def _in_bucket(rows: list[tuple], size: int, pass_on: bool):
+    """Spans of the windows that stretches of whole runs repeat; with ``pass_on``, hashes of the distinct windows too."""
+    if len(rows) < 2 and not pass_on:
+        return
     data, starts, owner, offset = _windows_of([r[3] for r in rows], size)
+    begin = np.fromiter((r[2] for r in rows), np.int64, len(rows))[owner] + offset
     h1 = textscan.gram_hash(textscan.byte_sums(data), size)[starts]
+    _, back, count = np.unique(h1, return_inverse=True, return_counts=True)
+    likely = np.flatnonzero(count[back] > 1)
+    group = np.full(len(starts), -1, np.int64)
+    group[likely] = multikey(data, starts[likely], size)
+    same = np.flatnonzero(group >= 0)
+    if (done := _spans(rows, owner[same], begin[same], size)) is not None:
+        yield done
+    if not pass_on:
+        return
+    # one of equal windows goes on, as a repeat already
+    lone = np.flatnonzero(group < 0)
+    some = np.append(lone, same[np.unique(group[same], return_index=True)[1]])
+    many = np.fromiter((r[4] for r in rows), bool, len(rows))[owner] | (group >= 0)
     h2 = textscan.gram_hash(textscan.prefix(_OTHER[data]), size)[starts]
-    ids, tags, begins, many = (np.array([r[k] for r in rows], object) for k in (0, 1, 2, 4))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(ids[owner], pa.int64()), pa.array(tags[owner], pa.int64()), pa.nulls(len(owner), pa.binary()),
-         pa.array(begins[owner].astype(np.int64) + offset), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-         pa.array(many[owner].astype(bool))],
+    ids, tags = (np.array([r[k] for r in rows], object) for k in (0, 1))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(ids[owner[some]], pa.int64()), pa.array(tags[owner[some]], pa.int64()), pa.nulls(len(some), pa.binary()),
+         pa.array(begin[some]), pa.array(h1[some].view(np.int64)), pa.array(h2[some].view(np.int64)), pa.array(many[some])],
         schema=_FOUND,
     )
 
@@ -146,18 +170,19 @@ def _buckets(suffixes: DataFrame, windows: ByteWindows, n: int) -> DataFrame:
         def close(last: bool):
             """A run is whole only if neither the bucket's begin nor its end cuts it."""
             nonlocal runs, held, opened, now
-            if not now:
-                return
-            if last or not opened or len(now) > RUN_ROWS:
-                for k in range(0, len(now), RUN_ROWS):
-                    yield _across(now[k : k + RUN_ROWS], size)
-            elif len(now) > 1:
-                runs += now
-                held += sum(len(r[3]) for r in now)
+            cut = last or not opened or len(now) > RUN_ROWS
+            for k in range(0, len(now), RUN_ROWS):
+                kept, done = _equal_bodies(now[k : k + RUN_ROWS])
+                if done is not None:
+                    yield done
+                if cut:
+                    yield from _in_bucket(kept, size, True)
+                elif len(kept) > 1:
+                    runs += kept
+                    held += sum(len(r[3]) for r in kept)
             opened, now = True, []
             if last or held > CHUNK_BYTES:
-                if (done := _in_bucket(runs, size)) is not None:
-                    yield done
+                yield from _in_bucket(runs, size, False)
                 runs, held = [], 0
 
         for batch in batches:
@@ -165,7 +190,8 @@ def _buckets(suffixes: DataFrame, windows: ByteWindows, n: int) -> DataFrame:
             for row in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names)):
                 head = row[3][row[5] : row[5] + gram]
                 if head != lead:
-                    yield from close(False)
+                    if now:
+                        yield from close(False)
                     lead = head
                 now.append(row[:5])
         yield from close(True)
@@ -183,7 +209,8 @@ def repeated_spans(docs: DataFrame, windows: ByteWindows = ByteWindows()) -> Dat
     cut = found.filter("spans IS NULL")
     twice = cut.groupBy("h1", "h2").agg(F.sum(F.when(F.col("many"), 2).otherwise(1)).alias("n")).filter("n > 1")
     start = F.col("start")
-    loose = cut.join(twice.select("h1", "h2"), ["h1", "h2"]).select("doc_id", "tag", _little(start, start + size).alias("spans"))
+    # what a bucket has found repeated needs no answer
+    loose = cut.filter("NOT many").join(twice.select("h1", "h2"), ["h1", "h2"]).select("doc_id", "tag", _little(start, start + size).alias("spans"))
     whole = suffixes.filter("spans IS NOT NULL").select("doc_id", "tag", "spans")
     return seeds.gathered(whole.unionByName(found.filter("spans IS NOT NULL").select("doc_id", "tag", "spans")).unionByName(loose))
 
