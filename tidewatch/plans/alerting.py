@@ -11,7 +11,7 @@ from tidewatch.model import RULES
 from tidewatch.operators import alerts, overtime, quantile, selectors, stats, vectors
 from tidewatch.plans.algebra import CUMULATIVE, PHIS, quantile_sql
 from tidewatch.plans.registry import query
-from tidewatch.plans.tables import END, HOUR, START
+from tidewatch.plans.tables import HOUR, SQL_END
 from tidewatch.session import settle
 from tidewatch.sources import ingest, read
 
@@ -38,7 +38,7 @@ def cpu_vector(t, rates=None):
 
 def memory_vector(t, rule="HighMemoryUsage", available="avg"):
     """Share of the six-hour peak that the six-hour mean (or minimum) leaves free."""
-    rows = overtime.over_time(t.gauge(), ["series"], timedelta(hours=6), HOUR, (available, "max"), START, END)
+    rows = overtime.over_time(t.gauge(), ["series"], timedelta(hours=6), HOUR, (available, "max"), t.start, t.end)
     labels = F.create_map(F.lit("instance"), F.col("series"))
     free = rows.select(labels.alias("labels"), "eval_ts", F.col(available).alias("value"))
     total = rows.select(labels.alias("labels"), "eval_ts", F.col("max").alias("value"))
@@ -173,28 +173,27 @@ def active_alerts(t):
 
 @query(
     "panel_active_alerts",
-    f"""WITH {states_sql('InstanceDown')} SELECT e.eval_ts, coalesce(n.value, 0) AS value FROM evals e LEFT JOIN
+    f"""WITH {ALL} SELECT e.eval_ts, coalesce(n.value, 0) AS value FROM evals e LEFT JOIN
     (SELECT eval_ts, count(*) AS value FROM states WHERE state = 'firing' GROUP BY 1) n ON n.eval_ts = e.eval_ts""",
-    uses="hourly_grid evals",
+    uses=USES,
 )
 def panel_active_alerts(t):
-    firing = alerts.active_alerts(alerts.alert_states(down_vector(t), HOURLY, ["instance"], HOUR))
-    return vectors.or_default(firing, vectors.steps(t.spark, START, END, HOUR), 0)
+    firing = alerts.active_alerts(states(t))
+    return vectors.or_default(firing, vectors.steps(t.spark, t.start, t.end, HOUR), 0)
 
 
 @query(
     "alert_annotations",
-    f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')} SELECT rule, instance, eval_ts,
-    CASE rule WHEN 'InstanceDown' THEN 'Instance ' || instance || ' is down' ELSE 'High memory usage on ' || instance END AS summary
-    FROM states""",
-    uses="hourly_grid gauge evals",
+    f"""WITH {ALL} SELECT rule, instance, eval_ts, CASE rule """
+    + " ".join(f"WHEN '{r.name}' THEN replace('{r.summary}', '{{instance}}', instance)" for r in RULES)
+    + " END AS summary FROM states",
+    uses=USES,
 )
 def alert_annotations(t):
-    rows = alerts.alert_states(down_vector(t).unionByName(memory_vector(t)), HOURLY, ["instance"], HOUR)
-    return alerts.annotate(rows, RULES, ["instance"]).select("rule", "instance", "eval_ts", "summary")
+    return alerts.annotate(states(t), RULES, ["instance"]).select("rule", "instance", "eval_ts", "summary")
 
 
-NOTIFY = f"""{states_sql('InstanceDown', 'HighMemoryUsage', 'HighErrorRate')},
+NOTIFY = f"""{ALL},
 grp AS (SELECT rule, severity, eval_ts, count(*) AS alerts, string_agg(instance, ',' ORDER BY instance) AS members
   FROM states WHERE state = 'firing' GROUP BY 1, 2, 3),
 mrk AS (SELECT *, lag(eval_ts) OVER w AS prev, lag(members) OVER w AS was, lead(eval_ts) OVER w AS nxt FROM grp
@@ -207,16 +206,13 @@ run AS (SELECT rule, severity, seg, min(eval_ts) AS a, max(eval_ts) + INTERVAL 1
 notices AS (SELECT rule, severity, sent_at, 'firing' AS status, alerts, sent_at > a + INTERVAL 20 SECOND AS is_repeat FROM (
     SELECT *, unnest(generate_series(a + INTERVAL 10 SECOND, b - INTERVAL 1 MICROSECOND, INTERVAL 4 HOUR)) AS sent_at FROM run)
   UNION ALL SELECT rule, severity, b + INTERVAL 10 SECOND, 'resolved', alerts, false FROM run WHERE closes)"""
-NOTIFY_USES = "hourly_grid gauge evals shard_rates"
 
 
 def _notices(t):
-    vector = down_vector(t).unionByName(memory_vector(t)).unionByName(error_vector(t))
-    rows = alerts.alert_states(vector, HOURLY, ["instance"], HOUR)
-    return alerts.notifications(rows, ["instance"], HOUR, repeat=timedelta(hours=4))
+    return alerts.notifications(states(t), ["instance"], HOUR, repeat=timedelta(hours=4))
 
 
-@query("alert_notify", f"WITH {NOTIFY} SELECT * FROM notices", uses=NOTIFY_USES)
+@query("alert_notify", f"WITH {NOTIFY} SELECT * FROM notices", uses=USES)
 def alert_notify(t):
     return _notices(t)
 
@@ -224,7 +220,7 @@ def alert_notify(t):
 @query(
     "alert_payload",
     f"WITH {NOTIFY} SELECT status, count(*) AS payloads, CAST(sum(alerts) AS BIGINT) AS alerts FROM notices GROUP BY 1",
-    uses=NOTIFY_USES,
+    uses=USES,
 )
 def alert_payload(t):
     return ingest.payload_rollup(alerts.payloads(_notices(t)))
@@ -239,14 +235,14 @@ SILENCES = (
 
 @query(
     "alert_silence",
-    f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')}, s(rule, a, b) AS (VALUES """
+    f"""WITH {ALL}, s(rule, a, b) AS (VALUES """
     + ", ".join(f"('{r}', TIMESTAMP '{a}', TIMESTAMP '{b}')" for r, a, b in SILENCES)
     + """) SELECT rule, instance, eval_ts, state FROM states x WHERE NOT EXISTS
       (SELECT 1 FROM s WHERE s.rule = x.rule AND x.eval_ts >= s.a AND x.eval_ts < s.b)""",
-    uses="hourly_grid gauge evals",
+    uses=USES,
 )
 def alert_silence(t):
-    rows = alerts.alert_states(down_vector(t).unionByName(memory_vector(t)), HOURLY, ["instance"], HOUR)
+    rows = states(t)
     table = t.spark.createDataFrame(SILENCES, "rule string, a string, b string").select(
         "rule", F.col("a").cast("timestamp").alias("starts_at"), F.col("b").cast("timestamp").alias("ends_at")
     )
@@ -255,37 +251,37 @@ def alert_silence(t):
 
 @query(
     "alert_dedup",
-    f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')} SELECT rule, instance, min(eval_ts) AS first_ts, max(eval_ts) AS last_ts,
+    f"""WITH {ALL} SELECT rule, instance, min(eval_ts) AS first_ts, max(eval_ts) AS last_ts,
     count(*) AS repeats FROM states WHERE state = 'firing' GROUP BY rule, instance, active_since""",
-    uses="hourly_grid gauge evals",
+    uses=USES,
 )
 def alert_dedup(t):
-    rows = alerts.alert_states(down_vector(t).unionByName(memory_vector(t)), HOURLY, ["instance"], HOUR)
+    rows = states(t)
     return alerts.deduplicate(rows, ["instance"]).select("rule", "instance", "first_ts", "last_ts", "repeats")
 
 
 @query(
     "alert_route",
-    f"""WITH {states_sql('InstanceDown', 'HighMemoryUsage')} SELECT rule, instance, eval_ts,
+    f"""WITH {ALL} SELECT rule, instance, eval_ts,
     CASE severity WHEN 'critical' THEN 'pager' ELSE 'default' END AS receiver FROM states WHERE state = 'firing'""",
-    uses="hourly_grid gauge evals",
+    uses=USES,
 )
 def alert_route(t):
-    rows = alerts.alert_states(down_vector(t).unionByName(memory_vector(t)), HOURLY, ["instance"], HOUR)
+    rows = states(t)
     return alerts.route(rows.filter("state = 'firing'"), {"critical": "pager"}).select("rule", "instance", "eval_ts", "receiver")
 
 
 @query(
     "target_health",
-    """WITH u AS (SELECT series, ts, CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END AS value FROM hourly_grid),
+    f"""WITH u AS (SELECT series, ts, CASE WHEN value IS NULL THEN 0.0 ELSE 1.0 END AS value FROM hourly_grid),
     s AS (SELECT series, arg_max(value, ts) AS up, max(ts) AS last_sample, max(ts) FILTER (value = 1) AS last_up FROM u GROUP BY 1)
-    SELECT *, epoch(TIMESTAMP '2024-01-31' - last_sample) AS age_seconds, CASE WHEN TIMESTAMP '2024-01-31' - last_sample > INTERVAL 2 HOUR THEN 'stale'
+    SELECT *, epoch({SQL_END} - last_sample) AS age_seconds, CASE WHEN {SQL_END} - last_sample > INTERVAL 2 HOUR THEN 'stale'
       WHEN up = 0 THEN 'down' ELSE 'up' END AS health FROM s""",
     uses="hourly_grid",
     doubles="up age_seconds",
 )
 def target_health(t):
-    return alerts.target_health(up_samples(t), ["series"], END, timedelta(hours=2))
+    return alerts.target_health(up_samples(t), ["series"], t.end, timedelta(hours=2))
 
 
 @query("panel_request_rate", "SELECT event_type, shard, eval_ts, value FROM shard_rates", uses="shard_rates", doubles="value")
@@ -342,7 +338,7 @@ line AS (SELECT series, eval_ts, regr_intercept(value, x) + regr_slope(value, x)
     doubles="predicted",
 )
 def disk_full_4h(t):
-    rows = overtime.regress_over_time(t.gauge(), ["series"], timedelta(hours=12), HOUR, timedelta(hours=4), START, END)
+    rows = overtime.regress_over_time(t.gauge(), ["series"], timedelta(hours=12), HOUR, timedelta(hours=4), t.start, t.end)
     return selectors.keep(rows, "<", 0.0, "predicted").select("series", "eval_ts", "predicted")
 
 
@@ -353,7 +349,7 @@ def disk_full_4h(t):
     doubles="predicted",
 )
 def memory_in_1h(t):
-    rows = overtime.regress_over_time(t.gauge(), ["series"], timedelta(hours=24), HOUR, HOUR, START, END)
+    rows = overtime.regress_over_time(t.gauge(), ["series"], timedelta(hours=24), HOUR, HOUR, t.start, t.end)
     return rows.select("series", "eval_ts", "predicted")
 
 
@@ -391,7 +387,7 @@ def latency_percentiles(t):
 )
 def cpu_range_stats(t):
     samples = t.gauge().withColumn("metric", F.lit("cpu"))
-    return stats.describe(read.range_read(samples, "cpu", ["series"], START, END, HOUR, HOUR), ["series"])
+    return stats.describe(read.range_read(samples, "cpu", ["series"], t.start, t.end, HOUR, HOUR), ["series"])
 
 
 @query(

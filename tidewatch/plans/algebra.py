@@ -12,7 +12,7 @@ from tidewatch.model import LATENCY_BOUNDS
 from tidewatch.operators import quantile, rolling, selectors, stats, vectors
 from tidewatch.operators import grid
 from tidewatch.plans.registry import query
-from tidewatch.plans.tables import DAY, END, GAUGE_BOUNDS, HOUR, KINDS, START
+from tidewatch.plans.tables import DAY, GAUGE_BOUNDS, HOUR, KINDS, SQL_START
 from tidewatch.sources import read, rollups
 
 BY = ["event_type", "shard"]
@@ -98,7 +98,7 @@ def enough_points(t):
     doubles="value",
 )
 def range_read(t):
-    return read.range_read(t.shard_counter(), "events_total", BY, START, END, HOUR, timedelta(hours=3))
+    return read.range_read(t.shard_counter(), "events_total", BY, t.start, t.end, HOUR, timedelta(hours=3))
 
 
 @query(
@@ -124,7 +124,7 @@ def instant_read(t):
     doubles=" ".join(KINDS),
 )
 def aligned_wide(t):
-    return read.aligned_read(t.gauge(), "series", KINDS, START, END, HOUR, timedelta(hours=2))
+    return read.aligned_read(t.gauge(), "series", KINDS, t.start, t.end, HOUR, timedelta(hours=2))
 
 
 @query(
@@ -231,7 +231,7 @@ def used_percent(t):
 )
 def or_default(t):
     busy = t.shard_rates().filter("value > 4").groupBy("eval_ts").agg(F.count("*").cast("double").alias("value"))
-    return vectors.or_default(busy, vectors.steps(t.spark, START, END, HOUR))
+    return vectors.or_default(busy, vectors.steps(t.spark, t.start, t.end, HOUR))
 
 
 @query(
@@ -461,7 +461,7 @@ def first_anomalies(t):
       event_type || ' ' || CAST(user_id AS VARCHAR) || ' (' || CAST(user_id % 4 AS VARCHAR) || ')' AS legend,
       CASE WHEN value > 5 THEN 'ELEVATED' ELSE 'Normal' END AS level,
       least(95.0, greatest(5.0, value)) AS clipped, sqrt(value) AS root, CAST(floor(value / 2) AS BIGINT) AS half,
-      (epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 1e6 AS since
+      (epoch_us(ts) - epoch_us(""" + SQL_START + """)) / 1e6 AS since
     FROM events""",
     doubles="clipped root since",
 )
@@ -484,5 +484,5 @@ def scalar_functions(t):
         units.clip(value, 5.0, 95.0).alias("clipped"),
         F.sqrt(value).alias("root"),
         F.floor(value / 2).alias("half"),
-        units.seconds_since(F.col("ts"), F.lit(START)).alias("since"),
+        units.seconds_since(F.col("ts"), F.lit(t.start)).alias("since"),
     )

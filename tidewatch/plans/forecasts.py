@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,6 @@ from tidewatch.operators.grid import regularize
 from tidewatch.plans.registry import query
 from tidewatch.plans.tables import HOUR, KINDS
 from tidewatch.sources import synthetic
-from tidewatch.plans.tables import START
 
 S = ["series"]
 
@@ -444,4 +443,4 @@ SHAPE = synthetic.Shape(30.0, 0.1, ((15.0, 24.0),), 0.0, bounds=(20.0, 60.0))
 )
 def synthetic_series(t):
     users = t.table("events").select("user_id").distinct()
-    return synthetic.synthetic(users, ["user_id"], 200, SHAPE, START).drop("step")
+    return synthetic.synthetic(users, ["user_id"], 200, SHAPE, datetime(2024, 1, 1)).drop("step")

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from tidewatch.operators import grid, overtime, rolling
 from tidewatch.plans.registry import query
-from tidewatch.plans.tables import END, HOUR, START, counter_sql
+from tidewatch.plans.tables import HOUR, counter_sql
 
 SPAN = timedelta(hours=6)
-AT = {"start": START, "end": END}
+
+
+def at(t) -> dict:
+    return {"start": t.start, "end": t.end}
 
 FRAME = """
 frame AS (
@@ -26,7 +29,7 @@ def _simple(stat: str, expr: str):
 
     @query(f"{stat}_over_time", sql, uses="gauge evals", doubles=stat)
     def run(t):
-        return overtime.over_time(t.gauge(), ["series"], SPAN, HOUR, (stat,), **AT)
+        return overtime.over_time(t.gauge(), ["series"], SPAN, HOUR, (stat,), **at(t))
 
 
 _simple("avg", "avg(value)")
@@ -35,7 +38,7 @@ _simple("stddev", "stddev_pop(value)")
 
 def _counter(t, mode="extrapolated", span=SPAN):
     return overtime.counter_over_time(
-        t.daily_counter(), ["series"], span, HOUR, mode=mode, tie=["event_id"], **AT
+        t.daily_counter(), ["series"], span, HOUR, mode=mode, tie=["event_id"], **at(t)
     )
 
 
@@ -77,7 +80,7 @@ def counter_increase(t):
     doubles="per_hour",
 )
 def deriv(t):
-    out = overtime.regress_over_time(t.gauge(), ["series"], SPAN, HOUR, **AT)
+    out = overtime.regress_over_time(t.gauge(), ["series"], SPAN, HOUR, **at(t))
     return out.select("series", "eval_ts", (F.col("deriv") * 3600).alias("per_hour"))
 
 
@@ -89,7 +92,7 @@ def deriv(t):
     doubles="predicted",
 )
 def predict_linear(t):
-    out = overtime.regress_over_time(t.gauge(), ["series"], SPAN, HOUR, ahead=HOUR, **AT)
+    out = overtime.regress_over_time(t.gauge(), ["series"], SPAN, HOUR, ahead=HOUR, **at(t))
     return out.select("series", "eval_ts", "predicted")
 
 
@@ -104,7 +107,7 @@ at_step AS (
 
 @query("asof_grid", f"WITH {ASOF.format(minutes=60)} SELECT * FROM at_step", uses="gauge evals", doubles="value")
 def asof(t):
-    return grid.asof_grid(t.gauge(), ["series"], HOUR, HOUR, START, END)
+    return grid.asof_grid(t.gauge(), ["series"], HOUR, HOUR, t.start, t.end)
 
 
 @query(
@@ -117,7 +120,7 @@ def asof(t):
     doubles="value avg stddev",
 )
 def promz_band(t):
-    return overtime.std_band(t.gauge(), ["series"], SPAN, HOUR, 2.0, HOUR, START, END)
+    return overtime.std_band(t.gauge(), ["series"], SPAN, HOUR, 2.0, HOUR, t.start, t.end)
 
 
 TRAIL = "OVER (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"

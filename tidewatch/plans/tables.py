@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from tidewatch.sources import rollups
 
 KINDS = ("click", "error", "purchase", "signup", "view")
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
-START, END = datetime(2024, 1, 1), datetime(2024, 1, 31)
+# Evaluation runs over whole days, from the first event's to the last one's.
+SQL_START = "(SELECT date_trunc('day', min(ts))::TIMESTAMP FROM events)"
+SQL_END = "(SELECT date_trunc('day', max(ts))::TIMESTAMP + INTERVAL 1 DAY FROM events)"
 GAUGE_BOUNDS = (1.0, 5.0, 10.0, 25.0, 50.0, 100.0, 250.0, 500.0, float("inf"))
 
 
@@ -33,6 +36,23 @@ class Tables:
         }
         return df.withColumns(casts) if casts else df
 
+    @cached_property
+    def days(self) -> tuple[datetime, datetime]:
+        """First and last evaluation time: one row of the events table's least and greatest time."""
+        day = self.table("events").agg(F.date_trunc("day", F.min("ts")).alias("a"), F.date_trunc("day", F.max("ts")).alias("b"))
+        a, b = day.select(F.date_format("a", "yyyy-MM-dd"), F.date_format("b", "yyyy-MM-dd")).first()
+        if a is None:
+            return datetime(1970, 1, 1), datetime(1970, 1, 2)
+        return datetime.fromisoformat(a), datetime.fromisoformat(b) + DAY
+
+    @property
+    def start(self) -> datetime:
+        return self.days[0]
+
+    @property
+    def end(self) -> datetime:
+        return self.days[1]
+
     def gauge(self) -> DataFrame:
         """Raw gauge: one series per event type."""
         return self.table("events").select(F.col("event_type").alias("series"), "ts", "value", "event_id")
@@ -83,7 +103,7 @@ class Tables:
     def shard_rates(self) -> DataFrame:
         """Events per hour for each type and shard, six-hour frames on an hourly grid."""
         rates = counter_over_time(
-            self.shard_counter(), ["event_type", "shard"], timedelta(hours=6), HOUR, tie=["event_id"], start=START, end=END
+            self.shard_counter(), ["event_type", "shard"], timedelta(hours=6), HOUR, tie=["event_id"], start=self.start, end=self.end
         )
         return rates.select("event_type", "shard", "eval_ts", (F.col("rate") * 3600).alias("value"))
 
@@ -93,7 +113,7 @@ class Tables:
 
     def bucket_rates(self) -> DataFrame:
         """Observations per hour and bucket, six-hour frames."""
-        rates = counter_over_time(self.buckets(), ["series", "le"], timedelta(hours=6), HOUR, start=START, end=END)
+        rates = counter_over_time(self.buckets(), ["series", "le"], timedelta(hours=6), HOUR, start=self.start, end=self.end)
         return rates.select("series", "le", "eval_ts", (F.col("rate") * 3600).alias("value"))
 
     def wide_hours(self) -> DataFrame:
@@ -215,6 +235,6 @@ CTES: dict[str, tuple[str, str]] = {
     ),
     "evals": (
         "",
-        "SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 HOUR)) AS eval_ts",
+        f"SELECT unnest(generate_series({SQL_START}, {SQL_END}, INTERVAL 1 HOUR)) AS eval_ts",
     ),
 }

@@ -12,14 +12,17 @@ from tidewatch.sources.sinks import stream_results
 
 
 def event_stream(spark: SparkSession, folder: str, name: str = "events.parquet", per_batch: int = 1) -> DataFrame:
-    """Files of a folder as a stream; timestamps with zone, as watermarks need."""
-    schema = spark.read.parquet(f"{folder}/{name}").schema
-    rows = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", name)
-        .option("maxFilesPerTrigger", per_batch)
-        .parquet(folder)
-    )
+    """A table of a folder as a stream, whether it is one file or a folder of part files.
+
+    Timestamps get a zone, as watermarks need.
+    """
+    path = f"{folder}/{name}"
+    table = spark.read.parquet(path)
+    part = table.select(F.input_file_name().alias("f")).limit(1).collect()
+    rows = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", per_batch)
+    # a single file has the table's own name, and a stream reads folders
+    single = bool(part) and part[0]["f"].rsplit("/", 1)[-1] == name
+    rows = rows.option("pathGlobFilter", name).parquet(folder) if single else rows.parquet(path)
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
