@@ -61,3 +61,54 @@ def test_quantiles(skewed):
     for row in exact_quantiles(skewed, ["key"], "value", probs).collect():
         values = frame.loc[frame["key"] == row.key, "value"]
         assert np.allclose([row[n] for n in probs], np.quantile(values, list(probs.values())))
+
+
+@pytest.fixture(scope="module")
+def absent(spark):
+    """Half of the rows have no key."""
+    rows = [(("a", None)[i % 2], i, float(i % 7)) for i in range(60)]
+    return spark.createDataFrame(rows, "key string, id bigint, value double").withColumn("ts", F.timestamp_seconds(F.col("id") * 20))
+
+
+def test_absent_keys_are_kept(absent):
+    numbered = number_rows(absent, ["key"], ["ts", "id"], n="n").collect()
+    assert len(numbered) == 60 and {r.n for r in numbered} == {30}
+    assert sorted(r.rn for r in numbered if r.key is None) == list(range(1, 31))
+    stats = absent.groupBy("key").agg(F.avg("value").alias("m"))
+    assert attach(absent, stats, ["key"]).filter("m IS NOT NULL").count() == 60
+    assert {r.key for r in exact_quantiles(absent, ["key"], "value", {"p": 0.5}).collect()} == {"a", None}
+    back = windowed(absent, ["key"], ["ts", "id"], lambda w: {"p": F.lag("id").over(w)}, before=1, block_rows=4)
+    assert {r.id - r.p for r in back.collect() if r.p is not None} == {2} and back.filter("p IS NULL").count() == 2
+
+
+def test_time_order_writes_nothing(absent, tmp_path, monkeypatch):
+    import tidewatch.layout
+
+    def refuse(df):
+        raise AssertionError("a table was written")
+
+    monkeypatch.setattr(tidewatch.layout, "settle", refuse)
+    assert windowed(absent, ["key"], ["ts"], lambda w: {"p": F.lag("id").over(w)}, before=1).count() == 60
+
+
+def test_equal_times_are_numbered_alike(spark, absent):
+    same = absent.withColumn("ts", F.timestamp_seconds(F.lit(5)))
+    number = lambda n: sorted((r.id, r.rn) for r in number_rows(same.repartition(n), ["key"], ["ts"]).collect())
+    assert number(1) == number(7)
+
+
+def test_quantiles_of_mostly_equal_values(spark):
+    rows = spark.range(20_000).select(F.lit("hot").alias("key"), F.when(F.col("id") % 10 < 9, 5.0).otherwise(F.col("id") / 3.0).alias("value"))
+    values = rows.toPandas()["value"]
+    got = exact_quantiles(rows, ["key"], "value", {"a": 0.2, "b": 0.93, "c": 0.999}).first()
+    assert np.allclose([got.a, got.b, got.c], np.quantile(values, [0.2, 0.93, 0.999]))
+
+
+def test_small_statistics_do_not_move_the_rows(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(5000).select((F.col("id") % 5).alias("key"), F.rand(1).alias("value")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    out = attach(rows, rows.groupBy("key").agg(F.avg("value").alias("m")), ["key"])
+    out.count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan

@@ -117,3 +117,31 @@ def test_stream_deduplication(spark, tmp_path):
     frame.coalesce(1).write.parquet(folder)
     out = run_once(alerts.deduplicate_stream(stream(spark, folder), ["instance"], "1 hour")).collect()
     assert sorted((r.instance, r.active_since.minute) for r in out) == [("a", 0), ("a", 4), ("b", 0)]
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_table_of_part_files_streams_whole(spark, tmp_path, parts):
+    from tidewatch.streaming.run import event_stream, run_once
+
+    rows = spark.range(1000).select(F.timestamp_seconds(F.col("id")).alias("ts"), "id")
+    rows.repartition(parts).write.parquet(str(tmp_path / "events.parquet"))
+    assert run_once(event_stream(spark, str(tmp_path))).count() == 1000
+
+
+def test_a_single_file_streams_whole(spark, tmp_path):
+    import shutil
+
+    from tidewatch.streaming.run import event_stream, run_once
+
+    shutil.copy("/root/testdata/sf0.001/events.parquet", tmp_path / "events.parquet")
+    rows = spark.read.parquet(str(tmp_path / "events.parquet"))
+    assert run_once(event_stream(spark, str(tmp_path))).count() == rows.count()
+
+
+def test_evaluation_runs_to_the_last_day(spark, tmp_path):
+    from tidewatch.plans.tables import Tables
+
+    rows = spark.createDataFrame([("2024-01-03 05:00:00",), ("2024-02-07 23:00:00",)], "ts string").select(F.col("ts").cast("timestamp").alias("ts"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    start, end = Tables(spark, str(tmp_path)).days
+    assert (start.isoformat(), end.isoformat()) == ("2024-01-03T00:00:00", "2024-02-08T00:00:00")

@@ -6,6 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
+from tidewatch.layout import number_rows
 from tidewatch.operators import grid, overtime, rolling
 from tidewatch.plans.registry import query
 from tidewatch.plans.tables import HOUR, counter_sql
@@ -293,3 +294,56 @@ def flapping(t):
 @query("regularize_ffill", "SELECT series, ts, value FROM hourly_filled", uses="hourly_filled", doubles="value")
 def regularize_ffill(t):
     return grid.regularize(t.hourly(), ["series"], HOUR).select("series", "ts", "value")
+
+
+# The same functions with a label that a seventh of the users lack: its series is NULL.
+ABSENT = "absent AS (SELECT CASE WHEN user_id % 7 = 0 THEN NULL ELSE event_type END AS series, ts, value, event_id FROM events)"
+
+
+def absent(t):
+    series = F.when(F.col("user_id") % 7 != 0, F.col("event_type"))
+    return t.table("events").select(series.alias("series"), "ts", "value", "event_id")
+
+
+@query(
+    "zscore_absent_label",
+    f"""WITH {ABSENT}, s AS (SELECT *, avg(value) OVER (PARTITION BY series) AS m, stddev_samp(value) OVER (PARTITION BY series) AS d FROM absent)
+    SELECT series, event_id, (value - m) / nullif(d, 0) AS z_score FROM s""",
+    doubles="z_score",
+)
+def zscore_absent_label(t):
+    return rolling.zscore(absent(t), ["series"]).select("series", "event_id", "z_score")
+
+
+@query(
+    "rolling_z_absent_label",
+    f"""WITH {ABSENT}, s AS (SELECT *, count(value) OVER w AS n, avg(value) OVER w AS m, stddev_samp(value) OVER w AS d FROM absent
+      WINDOW w AS (PARTITION BY series ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+    SELECT series, event_id, (value - m) / nullif(d, 0) AS z_score FROM s WHERE n = 20""",
+    doubles="z_score",
+)
+def rolling_z_absent_label(t):
+    return rolling.rolling_zscore(absent(t), ["series"], ["ts", "event_id"]).select("series", "event_id", "z_score")
+
+
+@query(
+    "median_mad_absent_label",
+    f"""WITH {ABSENT}, m AS (SELECT *, median(value) OVER (PARTITION BY series) AS med FROM absent)
+    SELECT series, any_value(med) AS median, median(abs(value - med)) AS mad FROM m GROUP BY series""",
+    doubles="median mad",
+)
+def median_mad_absent_label(t):
+    return rolling.median_mad(absent(t), ["series"])
+
+
+@query(
+    "counter_rate_absent_label",
+    f"""WITH {ABSENT}, counts AS (SELECT series, ts, event_id, CAST(row_number() OVER (PARTITION BY series ORDER BY ts, event_id) AS DOUBLE) AS value
+      FROM absent), {counter_sql('counts', 'series', 6)} SELECT series, eval_ts, increase / 21600.0 * 3600 AS rate_per_hour FROM rated""",
+    uses="evals",
+    doubles="rate_per_hour",
+)
+def counter_rate_absent_label(t):
+    rows = number_rows(absent(t), ["series"], ["ts", "event_id"]).withColumn("value", F.col("rn").cast("double"))
+    rates = overtime.counter_over_time(rows.drop("rn"), ["series"], SPAN, HOUR, tie=["event_id"], **at(t))
+    return rates.select("series", "eval_ts", (F.col("rate") * 3600).alias("rate_per_hour"))
