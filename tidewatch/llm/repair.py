@@ -10,8 +10,10 @@ stretch without the rest.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm import textscan
 from tidewatch.llm.bpe import WordCache, encode_rows
 from tidewatch.llm.tables import parts
-from tidewatch.session import shared_dir
+from tidewatch.session import settle, shared_dir
 
 FIRST_RULE = 1 << 16
 ROUNDS = 4
@@ -29,6 +31,7 @@ RULES_A_ROUND = 1024
 LEAST_COUNT = 8
 STRIDE = 1024
 SHARD_IDS = 1 << 18
+JOINED = 512
 _BINS = 1 << 18
 
 SCHEMA = (
@@ -41,14 +44,31 @@ def _pairs(symbols: np.ndarray) -> np.ndarray:
     return (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
 
 
-def _frequent(pairs: np.ndarray, most: int, least: int) -> np.ndarray:
-    """The most frequent pairs: bins of a hash first, then exact counts of what fell into full bins."""
+def _frequent(pairs: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent pairs, and for each position the number of its pair among them or -1.
+
+    Bins of a hash are counted first, then exactly what fell into full bins. Of
+    two frequent pairs in one bin the more frequent is taken; the other's turn
+    is a later round.
+    """
     bins = (textscan.mixed(pairs) & np.uint64(_BINS - 1)).astype(np.int64)
     full = np.bincount(bins, minlength=_BINS)
-    cut = max(least, int(np.partition(full, -2 * most)[-2 * most])) if most * 2 < _BINS else least
-    kinds, counts = np.unique(pairs[full[bins] >= cut], return_counts=True)
-    kinds, counts = kinds[counts >= least], counts[counts >= least]
-    return np.sort(kinds[np.lexsort((kinds, -counts))[:most]])
+    # the count that about twice as many bins reach as rules are wanted
+    reached = np.cumsum(np.bincount(np.minimum(full, 1 << 12))[::-1])[::-1]
+    cut = max(least, int((reached >= 2 * most).sum()) - 1)
+    kinds, where, counts = np.unique(pairs[some := np.flatnonzero(full[bins] >= cut)], return_index=True, return_counts=True)
+    order = np.lexsort((kinds, -counts))
+    order = order[counts[order] >= least][:most]
+    chosen, own = kinds[order], bins[some[where[order]]]
+    table = np.full(_BINS, -1, np.int64)
+    table[own[::-1]] = np.arange(len(own))[::-1]
+    used = table[own] == np.arange(len(own))
+    chosen, own = chosen[used], own[used]
+    table[own] = np.arange(len(own))
+    at = table[bins]
+    if len(chosen):
+        at[chosen[at] != pairs] = -1
+    return chosen, at
 
 
 def compress(ids: np.ndarray, rounds: int = ROUNDS, a_round: int = RULES_A_ROUND, least: int = LEAST_COUNT):
@@ -59,12 +79,10 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, a_round: int = RULES_A_ROUND
         if len(symbols) < 2:
             break
         pairs = _pairs(symbols)
-        chosen = _frequent(pairs, a_round, least)
+        chosen, at = _frequent(pairs, a_round, least)
         if not len(chosen):
             break
-        at = np.searchsorted(chosen, pairs)
-        at[at == len(chosen)] = 0
-        hit = chosen[at] == pairs
+        hit = at >= 0
         # of a run of overlapping hits every second one is replaced
         begin = hit.copy()
         begin[1:] &= ~hit[:-1]
@@ -134,19 +152,36 @@ def unpack(shard: dict) -> np.ndarray:
     return expand(np.frombuffer(shard["symbols"], "<u4"), np.frombuffer(shard["rules"], "<u4").reshape(-1, 2))
 
 
+@cache
 def library_cache(path: str) -> tuple[WordCache, object]:
-    """Slices encoded by the tokenizers library; and the library's tokenizer for whole texts."""
+    """Slices encoded by the tokenizers library; and its tokenizer for whole texts. One of each to a worker."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
+    plain = re.compile(r" [^\W\d_]+")
 
     def merge(words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)]
+        texts = [w.decode("utf-8") for w in words]
+        # a blank and ASCII letters: the library cuts a row of such slices just between them
+        row = [k for k, t in enumerate(texts) if t.isascii() and plain.fullmatch(t)]
+        out: list[list[int]] = [[] for _ in texts]
+        for k in range(0, len(row), JOINED):
+            some = row[k : k + JOINED]
+            found = tokenizer.encode("".join(texts[i] for i in some), add_special_tokens=False)
+            ends = np.cumsum([len(texts[i]) for i in some])
+            stops = np.searchsorted(np.fromiter((b for _, b in found.offsets), np.int64, len(found.offsets)), ends, "right")
+            ids, begin = found.ids, 0
+            for i, stop in zip(some, stops.tolist()):
+                out[i], begin = ids[begin:stop], stop
+        rest = sorted(set(range(len(texts))) - set(row))
+        for i, e in zip(rest, tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
 
     return WordCache(merge), tokenizer
 
 
-def encode_batch(cache: WordCache, tokenizer, specials: list[bytes], data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+def encode_batch(known: WordCache, tokenizer, specials: list[bytes], data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
     """Ids of every row. Rows that hold a special token's text go to the library whole."""
     raw = data.tobytes()
     odd = set()
@@ -155,7 +190,7 @@ def encode_batch(cache: WordCache, tokenizer, specials: list[bytes], data: np.nd
         while at >= 0:
             odd.add(int(np.searchsorted(offsets, at, "right")) - 1)
             at = raw.find(special, at + 1)
-    for i, ids, ends in encode_rows(cache, data, offsets):
+    for i, ids, ends in encode_rows(known, data, offsets):
         for r in range(len(ends) - 1):
             if i + r in odd:
                 text = raw[offsets[i + r] : offsets[i + r + 1]].decode("utf-8")
@@ -179,7 +214,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        cache, tokenizer = library_cache(tokenizer_path)
+        slices, tokenizer = library_cache(tokenizer_path)
         specials = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
         waiting, lens, ids, held, shard, part = [], [], [], 0, 0, 0
 
@@ -190,7 +225,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
         for batch in batches:
             data, offsets = textscan.column_bytes(batch.column(1))
             keys, part = batch.column(0).to_pylist(), batch.column(2)[0].as_py() if len(batch) else part
-            for key, found in zip(keys, encode_batch(cache, tokenizer, specials, data, offsets)):
+            for key, found in zip(keys, encode_batch(slices, tokenizer, specials, data, offsets)):
                 waiting.append(key)
                 lens.append(len(found) + 1)
                 ids += [found, np.array([end_id], np.int32)]
@@ -223,7 +258,9 @@ def read_shards(spark, path: str) -> DataFrame:
     base = whole.select("part", F.coalesce(earlier, F.lit(0)).alias("base"))
     inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
     first = sizes.select("part", "shard", F.coalesce(inside, F.lit(0)).alias("inner")).join(base, "part")
-    placed = table.join(first.select("part", "shard", (F.col("inner") + F.col("base")).alias("base")), ["part", "shard"])
+    # written, so that its true size decides whether the shards have to move to it
+    first = settle(first.select("part", "shard", (F.col("inner") + F.col("base")).alias("base")))
+    placed = table.join(first, ["part", "shard"])
 
     def run(batches):
         for batch in batches:
