@@ -18,7 +18,8 @@ def _chained(buckets: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     A group of the windows holds one row per bound.
     """
     ordered = Window.partitionBy(*by).orderBy("le")
-    merged = buckets.groupBy(*by, "le").agg(F.sum(value).alias("_c"))
+    # summed as decimals: whether a rank falls on a bucket's edge must not depend on the order of the rows
+    merged = buckets.groupBy(*by, "le").agg(F.sum(F.col(value).cast("decimal(38,18)")).cast("double").alias("_c"))
     running = F.max("_c").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
     whole = Window.partitionBy(*by)
     return merged.withColumn("c", running).withColumns(
