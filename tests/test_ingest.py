@@ -85,3 +85,15 @@ def test_synthetic_is_the_same_under_any_partitioning(spark):
     assert all(5 <= v <= 95 for *_, v in rows)
     noise = [v - (35 + 0.02 * t) for _, t, v in rows]
     assert sum(noise) / len(noise) == pytest.approx(10, abs=6)
+
+
+def test_package_goes_to_the_workers(spark):
+    import zipfile
+
+    from pyspark import SparkFiles
+
+    from tidewatch.session import ship_package
+
+    ship_package(spark)
+    with zipfile.ZipFile(SparkFiles.get("tidewatch.zip")) as sent:
+        assert {"tidewatch/session.py", "tidewatch/functions/trees.py"} <= set(sent.namelist())

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,13 +15,27 @@ ROCKSDB_PROVIDER = (
 DEFAULT_PARTITIONS = "200"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, for clusters where it is not installed."""
+    root = Path(__file__).resolve().parent
+    with tempfile.TemporaryDirectory(prefix="tidewatch-zip-") as folder:
+        archive = Path(folder) / "tidewatch.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(archive))
+
+
 def get_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return prepare(builder.getOrCreate())
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local["):
+        ship_package(spark)
+    return prepare(spark)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
