@@ -38,14 +38,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of every group of near copies the document with the smallest id stays. Documents without words stay."""
     found = jaccard.join(docs)
     lead = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", F.col("n_shingles") == 0).agg(F.min("tag").alias("tag"))
-    tagged = docs.select(*COLUMNS).withColumn("tag", F.xxhash64("text"))
+    tagged = docs.select(*COLUMNS).withColumn("tag", seeds.tag(F.col("text")))
     kept = seeds.on_key(tagged, lead.select("doc_id", "tag"), "left_semi")
     return kept.dropDuplicates(["doc_id", "tag"]).select(*COLUMNS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice. Rows that repeat count once."""
-    tagged = docs.select(*COLUMNS).withColumn("tag", F.xxhash64("text"))
+    tagged = docs.select(*COLUMNS).withColumn("tag", seeds.tag(F.col("text")))
     sized = tagged.select("doc_id", "tag", "source", word_count(F.col("text")).alias("size")).dropDuplicates(["doc_id", "tag"])
     taken = mixing.mix(sized).filter("copies > 0").select("doc_id", "tag", "copies")
     joined = seeds.on_key(tagged, taken, "inner")

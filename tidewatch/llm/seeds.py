@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import textscan
@@ -80,8 +80,13 @@ class WordWindows:
 
 
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, tag, text``. The tag tells rows apart that share an id but not a text."""
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tag"), F.col(text).alias("text"))
+    """``doc_id, tag, text``. The tag, a short hash of the text, tells rows apart that share an id but not a text."""
+    return docs.select(F.col(key).cast("bigint").alias("doc_id"), tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
+
+
+def tag(text: Column) -> Column:
+    # never null, so that inner and outer joins read the same shuffled rows
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 24) - 1))
 
 
 def on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
