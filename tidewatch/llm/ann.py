@@ -138,15 +138,22 @@ def train(rows: DataFrame, parts: int = PARTITIONS, size: int = SAMPLE, seed: in
     return Router.fit(x, near / near.sum(1, keepdims=True))
 
 
-def _routed(rows: DataFrame, router: Router, probes: int) -> DataFrame:
-    """``rows`` with ``parts``, the numbers of the ``probes`` most probable partitions."""
+def _routed(rows: DataFrame, router: Router, probes: int, filled: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``rows`` with ``parts``, the numbers of the ``probes`` most probable partitions.
+
+    Given the rows of each partition (``filled``), as many more as hold ``least`` rows together.
+    """
     def run(batches):
         import pyarrow as pa
 
         for batch in batches:
-            best = np.argsort(-router.scores(vectors.matrix(batch.column(1))), axis=1, kind="stable")[:, :probes] if len(batch) else np.zeros((0, probes))
-            flat = pa.array(best.ravel().astype(np.int32))
-            ends = pa.array(np.arange(len(batch) + 1, dtype=np.int32) * best.shape[1])
+            best = np.argsort(-router.scores(vectors.matrix(batch.column(1))), axis=1, kind="stable") if len(batch) else np.zeros((0, 1), np.int64)
+            taken = np.arange(best.shape[1])[None, :] < np.full((len(best), 1), probes)
+            if filled is not None and len(best):
+                held = np.cumsum(filled[best], axis=1)
+                taken |= held - filled[best] < least
+            flat = pa.array(best[taken].astype(np.int32))
+            ends = pa.array(np.append(0, np.cumsum(taken.sum(1))).astype(np.int32))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, flat)], names=["id", "v", "parts"])
 
     return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("parts", T.ArrayType(T.IntegerType()))]))
@@ -201,8 +208,9 @@ def search(table: DataFrame, every: int = 100, k: int = 10, recall: float = RECA
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     probes = audit(rows, router, k, recall)
     placed = _routed(rows, router, 1).withColumn("cell", F.col("parts")[0]).drop("parts")
-    asked = _routed(rows.filter(F.col("id") % every == 0), router, probes).dropDuplicates(["id"])
     counts = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    filled = np.array([counts.get(c, 0) for c in range(len(router.b2))])
+    asked = _routed(rows.filter(F.col("id") % every == 0), router, probes, filled, k + 1).dropDuplicates(["id"])
     slices = max(1, -(-asked.count() // BLOCK))
     blocks = F.element_at(F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // BLOCK))]), F.col("cell"))
     index = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))

@@ -94,9 +94,10 @@ def mix(
     which. Sizes of zero and ties are settled by that hash and the key. A size
     that many documents share is first cut by hash into groups of some
     hundreds, so no task ranks a whole size. What the driver sees is one row per
-    source. Sizes must not be null.
+    source. Sizes must not be null; columns with the names of the new ones are replaced.
     """
     spark = docs.sparkSession
+    docs = docs.drop("source_size", "target", "copies")
     hist = docs.groupBy(source, size).agg(F.count("*").alias("_n"))
     totals = hist.groupBy(source).agg(F.sum(F.col(size) * F.col("_n")).cast("bigint").alias("source_size"))
     # one row per source, ordered by UTF-8 bytes, which is the order of code points

@@ -21,11 +21,12 @@ from pyspark.sql import types as T
 from tidewatch.llm import textscan
 
 TRAIN_ROWS = 4000
-POOL_ROWS = 2000
+POOL_ROWS = 1500
 ROUNDS = 3
 SURE = 0.95
 A_ROUND = 200
-BINS = 1 << 11
+REJECT_BELOW = 0.3
+BINS = 1 << 10
 LAYOUT = 14
 HASHED = 16
 _TRI = np.random.default_rng(20240103).integers(0, 1 << 63, (3, 256), dtype=np.uint64)
@@ -45,7 +46,7 @@ def content(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Dense content features: shares of trigram bins (square roots) and of repeated words."""
     rows = len(offsets) - 1
     bins, row = _tokens(data, offsets)
-    counts = np.bincount(row * BINS + bins, minlength=rows * BINS).reshape(rows, BINS).astype(np.float64)
+    counts = np.bincount(row * BINS + bins, minlength=rows * BINS).reshape(rows, BINS).astype(np.float32)
     counts /= np.maximum(counts.sum(1, keepdims=True), 1)
     out = np.sqrt(counts)
     out[:, :3] = _repeats(data, offsets)
@@ -124,7 +125,8 @@ class Logistic:
     @staticmethod
     def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 250) -> Logistic:
         mean, scale = x.mean(0), 1 / (x.std(0) + 1e-3)
-        z = (x - mean) * scale
+        z = x - mean
+        z *= scale
         share = min(max(y.mean(), 1e-6), 1 - 1e-6)
         # both classes weigh the same
         each = np.where(y > 0.5, 0.5 / share, 0.5 / (1 - share)) / len(y)
@@ -143,16 +145,26 @@ class Logistic:
         raw = self.raw(x)
         good, bad = (y > 0.5).sum(), (y <= 0.5).sum()
         target = np.where(y > 0.5, (good + 1) / (good + 2), 1 / (bad + 2))
-        a, c = 1.0, 0.0
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * raw + c, -30, 30)))
-            w = np.maximum(p * (1 - p), 1e-9)
-            g = np.array([((p - target) * raw).sum() + 1e-3 * (a - 1), (p - target).sum()])
-            hess = np.array([[(w * raw * raw).sum() + 1e-3, (w * raw).sum()], [(w * raw).sum(), w.sum() + 1e-6]])
+        width = float(raw.std()) or 1.0
+        z, a, c = raw / width, 1.0, 0.0
+
+        def loss(a: float, c: float) -> float:
+            return float(np.mean(np.logaddexp(0, a * z + c) - target * (a * z + c)) + 1e-5 * (a - 1) ** 2)
+
+        # damped Newton steps: halved until the loss falls
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(a * z + c, -30, 30)))
+            w = np.maximum(p * (1 - p), 1e-6)
+            g = np.array([np.mean((p - target) * z) + 2e-5 * (a - 1), np.mean(p - target)])
+            hess = np.array([[np.mean(w * z * z) + 2e-5, np.mean(w * z)], [np.mean(w * z), np.mean(w) + 1e-6]])
             da, dc = np.linalg.solve(hess, g)
-            a, c = a - da, c - dc
-            if abs(da) + abs(dc) < 1e-9:
+            step = 1.0
+            while step > 1e-6 and loss(a - step * da, c - step * dc) > loss(a, c):
+                step /= 2
+            a, c = a - step * da, c - step * dc
+            if step * (abs(da) + abs(dc)) < 1e-9 or step <= 1e-6:
                 break
+        a /= width
         return Logistic(self.mean, self.scale, self.weight, self.bias, max(float(a), 1e-3), float(c))
 
 
@@ -229,7 +241,7 @@ def _sample(docs: DataFrame, ids: DataFrame) -> dict[int, tuple[np.ndarray, np.n
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = chosen.mapInArrow(run, f"doc_id {kind}, a binary, b binary").collect()
-    return {r["doc_id"]: (np.frombuffer(r["a"], "<f4").astype(float), np.frombuffer(r["b"], "<f4").astype(float)) for r in sorted(found, key=lambda r: (r["doc_id"], r["a"]))}
+    return {r["doc_id"]: (np.frombuffer(r["a"], "<f4"), np.frombuffer(r["b"], "<f4")) for r in sorted(found, key=lambda r: (r["doc_id"], r["a"]))}
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS, pool: int = POOL_ROWS, seed: int = 9) -> CoTrained | None:
@@ -253,12 +265,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
     free = [r["doc_id"] for r in rest if r["doc_id"] in views]
 
     def side(some, k):
-        return np.stack([views[i][k] for i in some]) if some else np.zeros((0, BINS if k == 0 else LAYOUT + 2 * HASHED))
+        return np.stack([views[i][k] for i in some]) if some else np.zeros((0, BINS if k == 0 else LAYOUT + 2 * HASHED), np.float32)
 
     return co_train(side(lab, 0), side(lab, 1), np.array([y_of[i] for i in lab]), side(free, 0), side(free, 1))
 
 
-def score(docs: DataFrame, model: CoTrained | None, threshold: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: CoTrained | None, threshold: float = REJECT_BELOW) -> DataFrame:
     """``docs`` with ``quality_score`` (probability of good) and ``keep``.
 
     Every row stays, in place. Null and empty texts are scored by their

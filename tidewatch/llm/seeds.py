@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 from tidewatch.llm import textscan
 
 
+# Grams are counted by 48 bits of their hash: two that fall together only let a few more windows through.
+_SHORT = np.uint64(16)
+
+
 @dataclass
 class Seeds:
     """Anchors of a run of rows. ``begin`` and ``end``: first and last window start of each, in its row."""
@@ -109,7 +113,7 @@ def _grams(docs: DataFrame, windows) -> DataFrame:
                 first = np.flatnonzero(new)
                 take = pa.array(row[first])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(gram[first].view(np.int64)),
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array((gram[first] >> _SHORT).view(np.int64)),
                      pa.array(np.diff(np.append(first, len(row))), pa.int32())],
                     names=["doc_id", "tag", "gram", "n"],
                 )
@@ -135,7 +139,7 @@ def is_wanted(found: Seeds, grams: pa.Array) -> np.ndarray:
     lens = grams.value_lengths().to_numpy(zero_copy_only=False)
     own = np.repeat(np.arange(len(lens), dtype=np.uint64), lens)
     salt = np.uint64(0x9E3779B97F4A7C15)
-    return np.isin(found.gram ^ textscan.mixed(found.row.astype(np.uint64) * salt), flat ^ textscan.mixed(own * salt))
+    return np.isin((found.gram >> _SHORT) ^ textscan.mixed(found.row.astype(np.uint64) * salt), flat ^ textscan.mixed(own * salt))
 
 
 def union(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
