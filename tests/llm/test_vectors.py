@@ -53,6 +53,22 @@ def test_large_components_in_blocks(cloud, monkeypatch):
     assert sorted(map(tuple, neighbours.near_duplicates(frame).collect())) == whole
 
 
+@pytest.mark.parametrize("size, block", [(20, 1024), (45, 16)])
+def test_groups_tighter_than_a_list_are_joined(spark, monkeypatch, size, block):
+    """Two groups of over ten vectors each, 0.99 inside and about 0.93 across, and one further off."""
+    monkeypatch.setattr(neighbours, "BLOCK", block)
+    rng = np.random.default_rng(8)
+    axes = np.linalg.qr(rng.normal(size=(32, 32)))[0]
+    centres = [axes[0], 0.94 * axes[0] + np.sqrt(1 - 0.94**2) * axes[1], axes[2]]
+    x = np.concatenate([c + rng.normal(size=(size, 32)) * 0.012 for c in centres])
+    unit = vectors.unit(x)
+    near = unit @ unit.T >= 0.9
+    assert near[: 2 * size, : 2 * size].all() and not near[2 * size :, : 2 * size].any()
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame).collect()}
+    assert got == {i: (2 * size - 1, 0) if i < 2 * size else (size - 1, 2 * size) for i in range(3 * size)}
+
+
 def test_search_recall_and_order(cloud, monkeypatch):
     frame, rows = cloud
     monkeypatch.setattr(ann, "BLOCK", 100)

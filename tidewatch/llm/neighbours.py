@@ -3,9 +3,12 @@
 Equal vectors become one node. Random projection trees give every node a first
 neighbour list; then neighbours of neighbours are compared and lists improve.
 Edges of at least the threshold make components. A list whose every entry
-reaches the threshold is saturated: it is enlarged to its whole component, which
-is compared in blocks, so the counts of links in a dense cluster are exact
-however long the lists would be. A bounded set of rows compared with all rows
+reaches the threshold is saturated: it may lack links, to its own component and
+to others. Nodes with such lists are compared with those of all other
+components that the triangle inequality leaves within reach, and components
+that a link joins become one. Each component is then compared in blocks, so the
+counts of links in a dense cluster are exact however long the lists would be. A
+bounded set of rows compared with all rows
 audits the recall; while it is too low, further trees and rounds follow.
 """
 
@@ -27,6 +30,7 @@ TREES = 6
 LEAF = 128
 ROUNDS = 2
 BLOCK = 1024
+CELLS = 2048
 SAMPLE = 4096
 AUDIT = 128
 RECALL = 0.97
@@ -129,6 +133,77 @@ def _descend(nodes: DataFrame, lists: DataFrame, k: int) -> DataFrame:
     return joined.groupBy("bucket").applyInPandas(compare, _EDGES)
 
 
+def _across(nodes: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """``a, b``: components of ``id, v, component`` nodes with a link between them, compared exactly.
+
+    Sampled nodes are pivots, and each node lies in the cell of its nearest. With
+    angles as distance and ``reach`` the angle of the threshold, a partner's
+    angle to its own pivot is at most ``reach`` more than to any pivot near the
+    probe, so a probe meets it only in cells whose pivot is within twice ``reach``
+    of the distance to the probe's own. Cells are cut into blocks, probes into
+    slices; of two linked nodes the one of the lower cell is the probe.
+    """
+    cells = min(CELLS, max(1, -(-nodes.count() // BLOCK)))
+    _, x = vectors.sample(nodes.select("id", "v"), cells, seed)
+    pivots = vectors.unit(x) if len(x) else np.zeros((0, 1))
+    reach = float(np.arccos(np.clip(threshold, -1, 1)))
+    kind = nodes.schema["v"].dataType.simpleString()
+
+    def place(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            angle = np.arccos(np.clip(vectors.unit(vectors.matrix(batch.column(1))) @ pivots.T, -1, 1))
+            home = angle.argmin(1)
+            met = angle <= angle[np.arange(len(home)), home][:, None] + 2 * reach + 1e-6
+            met &= np.arange(angle.shape[1]) >= home[:, None]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(met.sum(1))), pa.int32()), pa.array(np.nonzero(met)[1], pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int32()), lists], names=["id", "v", "component", "home", "met"])
+
+    placed = settle(nodes.select("id", "v", "component").mapInArrow(place, f"id bigint, v {kind}, component bigint, home int, met array<int>"))
+    held = placed.groupBy(F.col("home").alias("cell")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    held = settle(held)
+    # a cell of the probe's own component has nothing to tell
+    probes = placed.select("id", "component", F.explode("met").alias("cell")).join(held, "cell").filter("lo <> hi OR lo <> component")
+    probes = settle(probes.select("id", "component", "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("block")))
+    if probes.isEmpty():
+        return probes.select(F.col("component").alias("a"), F.col("component").alias("b"))
+    load = settle(probes.groupBy("cell", "block").agg(F.ceil(F.count("*") / (4 * BLOCK)).alias("slices")))
+    rank = F.xxhash64(F.lit(seed), "id")
+    keys = ["cell", "block", "slice"]
+    sent = probes.join(load, ["cell", "block"]).withColumn("slice", F.pmod(rank, F.col("slices")))
+    sent = sent.join(placed.select("id", "v"), "id").select(*keys, "component", "v")
+    there = placed.join(held, F.col("home") == F.col("cell")).withColumn("block", F.pmod(rank, F.col("blocks"))).join(load, ["cell", "block"])
+    there = there.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1))).select(*keys, "component", "v")
+
+    def compare(xs: pd.DataFrame, ys: pd.DataFrame) -> pd.DataFrame:
+        if not len(xs) or not len(ys):
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+        a, b = xs["component"].to_numpy(), ys["component"].to_numpy()
+        near = vectors.unit(vectors.stacked(xs["v"])) @ vectors.unit(vectors.stacked(ys["v"])).T >= threshold
+        row, col = np.nonzero(near & (a[:, None] != b[None, :]))
+        return pd.DataFrame({"a": a[row], "b": b[col]}).drop_duplicates()
+
+    sent, there = (df.select(*[F.col(c).alias(c) for c in df.columns]) for df in (sent, there))
+    return sent.groupBy(*keys).cogroup(there.groupBy(*keys)).applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
+def _merged(nodes: DataFrame, belongs: DataFrame, threshold: float, seed: int) -> DataFrame:
+    """``belongs`` after components that a link between ``nodes`` joins have become one."""
+    own = nodes.select("id", "v").join(belongs, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    links = settle(_across(own, threshold, seed))
+    if links.isEmpty():
+        return belongs
+    label = components(links).select(F.col("id").alias("component"), F.col("component").alias("whole"))
+    known = belongs.unionByName(own.select("id", "component")).distinct()
+    return settle(known.join(label, "component", "left").select("id", F.coalesce("whole", "component").alias("component")))
+
+
+def _saturated(lists: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Ids whose list is full of links: it may lack some."""
+    return lists.filter((F.size("near") >= k) & (F.element_at("near", -1)["sim"] >= threshold)).select("id")
+
+
 def _counts(nodes: DataFrame, belongs: DataFrame, threshold: float) -> DataFrame:
     """``id, links``: vectors (copies counted) of the same component at ``threshold`` or nearer.
 
@@ -198,7 +273,9 @@ def graph(nodes: DataFrame, threshold: float, k: int = LIST, seed: int = 6) -> t
         for _ in range(ROUNDS):
             lists = settle(_lists(_descend(nodes, lists, k).unionByName(_entries(lists)), k))
         near = _entries(lists).filter(F.col("sim") >= threshold).select(F.col("id").alias("a"), F.col("other").alias("b"))
-        belongs = components(near)
+        # of a link between two components that both lists lack, both ends are saturated
+        full = nodes.join(_saturated(lists, k, threshold), "id", "left_semi")
+        belongs = _merged(full, components(near), threshold, seed)
         links = settle(_counts(nodes, belongs, threshold))
         if _audited(nodes, links, threshold, seed) >= RECALL:
             break
