@@ -83,6 +83,16 @@ def test_rows_that_repeat_an_id(spark):
     assert sorted(r.n_removed for r in lz.dedup(frame).collect())[-1] == 60
 
 
+@pytest.mark.parametrize("slices", [1, 8])
+def test_rows_that_repeat_id_and_text_keep_it(spark, slices):
+    """Neither row is earlier, in one batch and in several; repeats inside and in later documents go as ever."""
+    own, twice = " ".join(f"v{i}" for i in range(60)), " ".join(f"u{i}" for i in range(30))
+    rows = [(1, own), (3, f"{own} tail"), (1, own), (None, f"{twice} {twice}"), (None, f"{twice} {twice}"), (1, own)]
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, slices), "doc_id bigint, text string")
+    got = sorted((r.doc_id or 9, r.n_removed, r.kept) for r in lz.dedup(frame).collect())
+    assert got == [(1, 0, own)] * 3 + [(3, 60, "tail")] + [(9, 30, twice)] * 2
+
+
 def test_empty_table_and_clashing_columns(spark, nothing):
     assert suffix.dedup(nothing).count() == lz.dedup(nothing).count() == lines.dedup(nothing).count() == 0
     odd = spark.createDataFrame([(1, "a\nb", 5, "x")], "doc_id bigint, text string, n_lines int, tag string")

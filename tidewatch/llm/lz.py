@@ -70,7 +70,10 @@ def _first_of_batch(batch: pa.RecordBatch, row, start, count, h1, h2, size: int)
     new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
     first = np.flatnonzero(new)
     lead = first[np.cumsum(new) - 1]
-    again = np.flatnonzero(~new)
+    # rows that repeat id and text are one document: the same place in another of them is no earlier one
+    same = np.zeros(len(row), bool)
+    same[1:] = ~new[1:] & (np.diff(ids[row]) == 0) & (np.diff(tags[row]) == 0) & (np.diff(start) == 0)
+    again = np.flatnonzero(~new & ~same)
     again = again[np.argsort(row[again], kind="stable")]
     cuts = np.flatnonzero(np.diff(row[again])) + 1
     owners, factors = [], []
@@ -130,21 +133,22 @@ def _starts(found: seeds.Seeds, batch: pa.RecordBatch) -> np.ndarray:
 def _split(probes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``here``: factors found in a batch; ``first``: probes that are the earliest of their kind; ``later``: the others, with theirs.
 
-    Batches have sent each kind once, so a kind has no more rows than there are batches.
+    Batches have sent each kind once, so a kind has no more rows than there are batches. Places of equal ``doc_id, tag,
+    start``, in rows that repeat id and text, share a rank, so none of them is a source of another.
     """
     here = probes.filter("factors IS NOT NULL").select("doc_id", "tag", F.col("factors").alias("spans"))
     # plain columns only, or the shuffled rows would hold structs of them as well
     order = Window.partitionBy("h1", "h2").orderBy(F.col("doc_id").asc_nulls_last(), "tag", "start")
     index = probes.filter("factors IS NULL").select(
         "doc_id", "tag", "start", "count", F.first("doc_id").over(order).alias("ref_doc"), F.first("start").over(order).alias("ref_start"),
-        F.row_number().over(order).alias("place"),
+        F.rank().over(order).alias("place"),
     )
     return here, index.filter("place = 1"), index.filter("place > 1")
 
 
 def _chained(later: DataFrame, size: int) -> DataFrame:
     hit = F.struct(F.col("start").alias("a"), F.col("count").alias("n"), F.coalesce("ref_doc", F.lit((1 << 63) - 1)).alias("d"), F.col("ref_start").cast("bigint").alias("s"))
-    hits = later.groupBy("doc_id", "tag").agg(F.collect_list(hit).alias("hits"))
+    hits = later.groupBy("doc_id", "tag").agg(F.collect_set(hit).alias("hits"))
 
     def run(batches):
         for batch in batches:
@@ -169,7 +173,7 @@ def factors(docs: DataFrame, windows: WordWindows = WordWindows()) -> DataFrame:
     wanted = seeds.with_repeated_grams(docs, windows)
     here, first, later = _split(_probes(wanted, windows, lambda found, batch: seeds.is_wanted(found, batch.column(3)), False))
     # the count comes along, so that both sides read the same shuffled rows
-    begins = first.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "count")).alias("starts"))
+    begins = first.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("start", "count")).alias("starts"))
     begins = begins.withColumn("starts", F.col("starts.start"))
     alone = _probes(seeds.on_key(docs, begins, "inner"), windows, _starts, True)
     here_too, _, later_too = _split(alone)
@@ -182,7 +186,9 @@ def dedup(docs: DataFrame, windows: WordWindows = WordWindows()) -> DataFrame:
 
     Takes ``doc_id, text``; further columns are not read. Null ids come last,
     rows that share an id are ordered by a hash of their text, null and short
-    texts stay whole. Returns ``doc_id, n_words, n_removed, kept_sha256, kept,
+    texts stay whole. Rows that repeat id and text are one document, none of them
+    earlier than another: all get the same result, and words that start nowhere
+    earlier stay in all of them. Returns ``doc_id, n_words, n_removed, kept_sha256, kept,
     factors``: the words left, and the parse as ``start, length, ref_doc,
     ref_start`` in words.
     """
