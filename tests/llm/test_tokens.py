@@ -72,6 +72,23 @@ def test_shards_equal_the_library(spark, odd, tmp_path):
         start += len(ids)
 
 
+def test_null_ids_come_first(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary(TOKENIZER))
+    rows = [(5, "five words of plain text"), (None, "no id"), (-3, None), (None, None), (0, "zero"), (None, "no id either, and longer")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    path = str(tmp_path / "nulls")
+    for shard_ids in (4, 2000):
+        repair.write_shards(frame, path, vocabulary(TOKENIZER), shard_ids=shard_ids)
+        got = sorted(map(tuple, repair.read_shards(spark, path).collect()), key=lambda r: r[1])
+        assert [r[0] for r in got] == [None] * 3 + [-3, 0, 5]
+        assert [r[1] for r in got] == [sum(n for _, _, n, _ in got[:i]) for i in range(6)]
+        coded = [(d, [*library.encode(t or "", add_special_tokens=False).ids, 0]) for d, t in rows]
+        want = sorted((str(d), len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) for d, ids in coded)
+        assert sorted((str(d), n, crc) for d, _, n, crc in got) == want
+
+
 def test_random_access(spark, odd, tmp_path):
     frame, _ = odd
     path = str(tmp_path / "shards")

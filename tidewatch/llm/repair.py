@@ -35,7 +35,7 @@ JOINED = 512
 _BINS = 1 << 18
 
 SCHEMA = (
-    "part int, shard int, first_doc bigint, n_ids bigint, doc_ids binary, doc_lens binary, "
+    "part int, shard int, first_doc bigint, n_ids bigint, null_docs bigint, doc_ids binary, doc_lens binary, "
     "rules binary, rule_lens binary, symbols binary, marks binary"
 )
 
@@ -136,13 +136,15 @@ def stretch(shard: dict, start: int, stop: int) -> np.ndarray:
     return found[start - marks[a] : stop - marks[a]]
 
 
-def pack(part: int, shard: int, doc_ids: list[int], lens: list[int], ids: np.ndarray) -> dict:
+def pack(part: int, shard: int, doc_ids: list[int | None], lens: list[int], ids: np.ndarray) -> dict:
+    """A shard row. Null ids come first in it: ``null_docs`` counts them, and ``doc_ids`` has 0 there."""
     symbols, rules, lengths = compress(ids)
+    null_docs = doc_ids.count(None)
     ends = np.cumsum(_lengths(symbols, lengths))
     marks = np.append(0, ends[STRIDE - 1 : len(ends) - 1 : STRIDE]) if len(ends) else np.zeros(1, np.int64)
     return {
         "part": part, "shard": shard, "first_doc": doc_ids[0], "n_ids": len(ids),
-        "doc_ids": np.array(doc_ids, "<i8").tobytes(), "doc_lens": np.array(lens, "<i8").tobytes(),
+        "null_docs": null_docs, "doc_ids": np.array([0] * null_docs + doc_ids[null_docs:], "<i8").tobytes(), "doc_lens": np.array(lens, "<i8").tobytes(),
         "rules": rules.astype("<u4").tobytes(), "rule_lens": lengths.astype("<i8").tobytes(),
         "symbols": symbols.astype("<u4").tobytes(), "marks": marks.astype("<i8").tobytes(),
     }
@@ -202,13 +204,15 @@ def encode_batch(known: WordCache, tokenizer, specials: list[bytes], data: np.nd
 def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, shard_ids: int = SHARD_IDS) -> None:
     """Encode ``doc_id, text`` in ascending ``doc_id`` order and write the shards to ``path``.
 
-    Null and empty texts hold only ``end_id``. Rows are dealt by sampled ranges
+    Null and empty texts hold only ``end_id``. Null ids come first, in the order
+    of a hash of their texts, so that many of them are several ranges. Rows are dealt by sampled ranges
     of ``doc_id``; a range writes a shard whenever ``shard_ids`` ids are full, so
     a task holds one shard however many rows it has.
     """
     spark = docs.sparkSession
-    ranged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(parts(spark), "doc_id")
-    ordered = ranged.sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id())
+    order = [F.col("doc_id").asc_nulls_first(), F.when(F.col("doc_id").isNull(), F.xxhash64("text"))]
+    ranged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(parts(spark), *order)
+    ordered = ranged.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
 
     def run(batches):
         import os
@@ -240,7 +244,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
 
 
 _ARROW = pa.schema([
-    ("part", pa.int32()), ("shard", pa.int32()), ("first_doc", pa.int64()), ("n_ids", pa.int64()),
+    ("part", pa.int32()), ("shard", pa.int32()), ("first_doc", pa.int64()), ("n_ids", pa.int64()), ("null_docs", pa.int64()),
     *((n, pa.binary()) for n in ("doc_ids", "doc_lens", "rules", "rule_lens", "symbols", "marks")),
 ])
 
@@ -269,14 +273,15 @@ def read_shards(spark, path: str) -> DataFrame:
                 lens = np.frombuffer(row["doc_lens"], "<i8")
                 ends = np.cumsum(lens)
                 starts = ends - lens
+                nameless = np.arange(len(lens)) < row["null_docs"]
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.frombuffer(row["doc_ids"], "<i8")), pa.array(starts + row["base"]), pa.array(lens), pa.array(crc, pa.int64())],
+                    [pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=nameless), pa.array(starts + row["base"]), pa.array(lens), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    columns = ["n_ids", "doc_ids", "doc_lens", "rules", "symbols", "base"]
+    columns = ["n_ids", "null_docs", "doc_ids", "doc_lens", "rules", "symbols", "base"]
     return placed.select(*columns).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
