@@ -69,6 +69,34 @@ def test_groups_tighter_than_a_list_are_joined(spark, monkeypatch, size, block):
     assert got == {i: (2 * size - 1, 0) if i < 2 * size else (size - 1, 2 * size) for i in range(3 * size)}
 
 
+def test_poor_lists_end_in_an_exact_comparison(spark, monkeypatch):
+    """One cluster that is found and many pairs that are not: the audit sees the pairs, and all are found in the end."""
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=24)
+    singles = rng.normal(size=(40, 24))
+    x = np.concatenate([centre + rng.normal(size=(60, 24)) * 0.02, singles, singles + rng.normal(size=(40, 24)) * 0.02])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    everything = neighbours.best_pairs
+
+    def cluster_only(ids, unit, k, floor=None):
+        a, b, s = everything(ids, unit, k, floor)
+        keep = (a < 60) & (b < 60)
+        return a[keep], b[keep], s[keep]
+
+    monkeypatch.setattr(neighbours, "ATTEMPTS", 1)
+    monkeypatch.setattr(neighbours, "BLOCK", 32)
+    monkeypatch.setattr(neighbours, "best_pairs", cluster_only)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in neighbours.near_duplicates(frame).collect()}
+    assert got == {i: (59, 0) if i < 60 else (1, 60 + (i - 60) % 40) for i in range(140)}
+
+
+def test_leaves_are_halved_by_place():
+    assert [neighbours._depth(n) for n in (100, 1000, 131072, 10_000_000)] == [0, 3, 10, 11]
+    x = np.concatenate([np.eye(2).repeat(300, 0)])
+    pieces = neighbours.halves(x + np.random.default_rng(0).normal(size=x.shape) * 1e-3, 320, np.random.default_rng(1))
+    assert sorted(map(len, pieces)) == [300, 300] and all(p.max() < 300 or p.min() >= 300 for p in pieces)
+
+
 def test_search_recall_and_order(cloud, monkeypatch):
     frame, rows = cloud
     monkeypatch.setattr(ann, "BLOCK", 100)

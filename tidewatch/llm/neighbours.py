@@ -9,7 +9,8 @@ components that the triangle inequality leaves within reach, and components
 that a link joins become one. Each component is then compared in blocks, so the
 counts of links in a dense cluster are exact however long the lists would be. A
 bounded set of rows compared with all rows
-audits the recall; while it is too low, further trees and rounds follow.
+audits the recall; while it is too low, further trees and rounds follow, and
+if it stays too low, all nodes are compared as the saturated ones are.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BLOCK = 1024
 CELLS = 2048
 SAMPLE = 4096
 AUDIT = 128
+AUDIT_MOST = 8192
+GROUP = 8192
 RECALL = 0.97
 ATTEMPTS = 4
 
@@ -78,12 +81,32 @@ def best_pairs(ids: np.ndarray, unit: np.ndarray, k: int, floor: np.ndarray | No
     return ids[row], ids[col], value
 
 
+def _depth(count: int) -> int:
+    """Levels that a sample's medians cut: leaves of ``LEAF`` rows up to ten levels, then of at most ``GROUP``."""
+    levels = [max(0, int(np.ceil(np.log2(max(1, count / rows))))) for rows in (LEAF, GROUP)]
+    return max(min(levels[0], 10), levels[1])
+
+
+def halves(unit: np.ndarray, most: int, rng: np.random.Generator) -> list[np.ndarray]:
+    """Row numbers of pieces of at most ``most`` rows: each half of a piece lies on one side of a hyperplane."""
+    done, waiting = [], [np.arange(len(unit))]
+    while waiting:
+        rows = waiting.pop()
+        if len(rows) <= most:
+            done.append(rows)
+            continue
+        order = rows[np.argsort(unit[rows] @ rng.normal(size=unit.shape[1]), kind="stable")]
+        waiting += [order[: len(order) // 2], order[len(order) // 2 :]]
+    return done
+
+
 def _from_trees(nodes: DataFrame, sample: np.ndarray, count: int, k: int, seed: int, trees: int) -> DataFrame:
-    """Candidates from the leaves of some trees; a leaf with too many rows is cut by hash, another way in each tree."""
-    depth = max(0, int(np.ceil(np.log2(max(1, count / LEAF)))))
+    """Candidates from the leaves of some trees. A leaf is halved where it lies until its pieces are small.
+
+    Only rows that no hyperplane of a sample tells apart outgrow a task's share; those are cut by hash.
+    """
     rng = np.random.default_rng(seed)
-    # a sample cannot place more cuts than it has rows; deeper leaves are cut by hash below
-    forest = [Tree(sample, min(depth, 10), rng) for _ in range(trees)]
+    forest = [Tree(sample, _depth(count), rng) for _ in range(trees)]
 
     def place(batches):
         for batch in batches:
@@ -94,11 +117,14 @@ def _from_trees(nodes: DataFrame, sample: np.ndarray, count: int, k: int, seed:
 
     kind = nodes.schema["v"].dataType.simpleString()
     placed = nodes.select("id", "v").mapInArrow(place, f"id bigint, v {kind}, leaf bigint")
-    sizes = settle(placed.groupBy("leaf").agg(F.ceil(F.count("*") / (4 * LEAF)).alias("n")))
+    sizes = settle(placed.groupBy("leaf").agg(F.ceil(F.count("*") / (8 * GROUP)).alias("n")))
     dealt = placed.join(sizes, "leaf").withColumn("piece", F.pmod(F.xxhash64(F.lit(seed), "leaf", "id"), F.col("n")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b, s = best_pairs(pdf["id"].to_numpy(), vectors.unit(vectors.stacked(pdf["v"])), k)
+        pdf = pdf.sort_values("id")
+        ids, unit = pdf["id"].to_numpy(), vectors.unit(vectors.stacked(pdf["v"]))
+        pieces = halves(unit, 4 * LEAF, np.random.default_rng([seed, int(pdf["leaf"].iloc[0])]))
+        a, b, s = (np.concatenate(x) for x in zip(*(best_pairs(ids[p], unit[p], k) for p in pieces)))
         return pd.DataFrame({"id": a, "other": b, "sim": s})
 
     return dealt.groupBy("leaf", "piece").applyInPandas(compare, _EDGES)
@@ -240,31 +266,43 @@ def _counts(nodes: DataFrame, belongs: DataFrame, threshold: float) -> DataFrame
     return both.groupBy("large", "g", "i", "j").applyInPandas(compare, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links"))
 
 
-def _audited(nodes: DataFrame, links: DataFrame, threshold: float, seed: int) -> float:
-    """Share of the links of ``AUDIT`` nodes that ``links`` has, by comparing them with all rows."""
-    ids, x = vectors.sample(nodes.select("id", "v"), AUDIT, seed)
-    unit = vectors.unit(x)
-
-    def compare(batches):
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            if len(batch):
-                near = vectors.unit(vectors.matrix(batch.column(1))) @ unit.T >= threshold
-                near &= batch.column(0).to_numpy()[:, None] != ids[None, :]
-                total += batch.column(2).to_numpy() @ near
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "true"])
+def _audited(nodes: DataFrame, links: DataFrame, threshold: float, seed: int) -> float | None:
+    """Mean share of its links that a node has in ``links``, over sampled nodes with any, compared with all rows.
 
-    true = nodes.select("id", "v", "mult").mapInArrow(compare, "id bigint, true bigint").groupBy("id").agg(F.sum("true").alias("true"))
-    both = true.join(links, "id", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not both[0] else float(both[1]) / float(both[0])
+    The sample grows until ``AUDIT`` / 4 of it have links or it holds all nodes;
+    None if ``AUDIT_MOST`` are too few for that.
+    """
+    most = AUDIT
+    while True:
+        ids, x = vectors.sample(nodes.select("id", "v"), most, seed)
+        unit = vectors.unit(x)
+
+        def compare(batches):
+            total = np.zeros(len(ids), np.int64)
+            for batch in batches:
+                if len(batch):
+                    near = vectors.unit(vectors.matrix(batch.column(1))) @ unit.T >= threshold
+                    near &= batch.column(0).to_numpy()[:, None] != ids[None, :]
+                    total += batch.column(2).to_numpy() @ near
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["id", "true"])
+
+        true = nodes.select("id", "v", "mult").mapInArrow(compare, "id bigint, true bigint").groupBy("id").agg(F.sum("true").alias("true"))
+        share = F.least(F.coalesce("links", F.lit(0)) / F.col("true"), F.lit(1.0))
+        linked, recall = true.filter(F.col("true") > 0).join(links, "id", "left").agg(F.count("*"), F.avg(share)).first()
+        if len(ids) < most or 4 * linked >= AUDIT:
+            return 1.0 if recall is None else float(recall)
+        if most >= AUDIT_MOST:
+            return None
+        most = min(8 * most, AUDIT_MOST)
 
 
 def graph(nodes: DataFrame, threshold: float, k: int = LIST, seed: int = 6) -> tuple[DataFrame, DataFrame]:
     """``belongs`` (``id, component``) and ``links`` (``id, links``) of ``id, v, mult`` nodes."""
     count = nodes.count()
-    _, x = vectors.sample(nodes.select("id", "v"), SAMPLE, seed)
+    # four rows or more for every cut of the lowest level
+    _, x = vectors.sample(nodes.select("id", "v"), max(SAMPLE, 4 << _depth(count)), seed)
     sample = vectors.unit(x) if len(x) else np.zeros((0, 1))
-    lists = None
+    lists = known = None
     for attempt in range(ATTEMPTS):
         fresh = _from_trees(nodes, sample, count, k, seed + attempt, TREES)
         if lists is not None:
@@ -277,9 +315,16 @@ def graph(nodes: DataFrame, threshold: float, k: int = LIST, seed: int = 6) -> t
         full = nodes.join(_saturated(lists, k, threshold), "id", "left_semi")
         belongs = _merged(full, components(near), threshold, seed)
         links = settle(_counts(nodes, belongs, threshold))
-        if _audited(nodes, links, threshold, seed) >= RECALL:
-            break
-    return belongs, links
+        recall = _audited(nodes, links, threshold, seed)
+        if recall is not None and recall >= RECALL:
+            return belongs, links
+        # too few links for an audit: fresh trees that find no new one stand for it
+        found = links.agg(F.sum("links")).first()[0] or 0
+        if recall is None and found == known:
+            return belongs, links
+        known = found
+    belongs = _merged(nodes, belongs, threshold, seed)
+    return belongs, settle(_counts(nodes, belongs, threshold))
 
 
 def _entries(lists: DataFrame) -> DataFrame:
