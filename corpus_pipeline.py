@@ -35,12 +35,14 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest id stays. Documents without words stay."""
+    """Of every group of near copies the document with the smallest id, null last, stays. Every row without words stays."""
     found = jaccard.join(docs)
-    lead = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id", F.col("n_shingles") == 0).agg(F.min("tag").alias("tag"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
+    lead = found.filter("component IS NOT NULL").groupBy("component").agg(F.min_by(F.struct("doc_id", "tag"), order).alias("at"))
     tagged = docs.select(*COLUMNS).withColumn("tag", seeds.tag(F.col("text")))
-    kept = seeds.on_key(tagged, lead.select("doc_id", "tag"), "left_semi")
-    return kept.dropDuplicates(["doc_id", "tag"]).select(*COLUMNS)
+    worded = tagged.filter(word_count(F.col("text")) > 0)
+    kept = seeds.on_key(worded, lead.select("at.doc_id", "at.tag"), "left_semi").dropDuplicates(["doc_id", "tag"])
+    return kept.unionByName(tagged.filter(word_count(F.col("text")) == 0)).select(*COLUMNS)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -150,6 +150,18 @@ def test_pipeline_stages(spark, stages):
     assert sorted(coded.doc_id) == sorted(mixed.doc_id)
 
 
+def test_one_of_each_group_keeps_what_is_near_nothing(spark):
+    """Unlinked texts with no id or one id all stay, rows without words too; a group is one row, null ids last."""
+    text = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcdefg"}
+    rows = [(None, text["a"]), (None, text["b"]), (None, text["c"]), (7, text["d"]), (7, text["e"]), (None, text["f"]), (2, text["f"].upper()),
+            (9, text["f"]), (None, text["g"]), (None, text["g"]), (None, text["g"].upper()), (None, None), (None, ""), (None, " "), (5, None), (5, None)]
+    frame = spark.createDataFrame([(d, t, "en", "a", len(t or "")) for d, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.one_of_each_group(spark, frame, "").collect()]
+    worded = [(d, t) for d, t in kept if (t or "").strip()]
+    assert sorted((d or 0, t.lower()) for d, t in worded) == sorted([(0, text["a"]), (0, text["b"]), (0, text["c"]), (7, text["d"]), (7, text["e"]), (2, text["f"]), (0, text["g"])])
+    assert sorted(map(str, (r for r in kept if r not in worded))) == sorted(map(str, [(None, None), (None, ""), (None, " "), (5, None), (5, None)]))
+
+
 def test_stages_take_an_empty_table(spark, nothing):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, "/root/testdata/sf0.001").count() == 0
