@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions import trees
 from tidewatch.operators import density, forest
 from tidewatch.operators.components import components
 
@@ -36,6 +37,25 @@ def test_sweep_counts_rise(cloud):
     assert got == [4, 20, 40]
 
 
+@pytest.mark.parametrize("low", [0.0, 1.0, -3.7e9, 1e300, -np.finfo(float).max])
+def test_trees_grow_on_neighbouring_values(low):
+    """Ranges of one unit in the last place, and the widest there are."""
+    high = np.nextafter(low, np.inf) if low > -1e308 else np.finfo(float).max
+    rows = np.array([[low, 0.0], [high, 0.0], [low, 0.0], [high, 0.0]])
+    for seed in range(2500):
+        tree = trees.grow(rows, np.random.default_rng(seed))
+        cut = tree["threshold"][0]
+        assert low <= cut < high and len(tree["feature"]) == 3
+        assert list(trees.depths(tree, rows)) == [2.0] * 4
+
+
+def test_trees_take_values_that_are_no_numbers():
+    rows = np.array([[1.0, np.nan], [2.0, np.inf], [np.nan, -np.inf], [3.0, 5.0]])
+    for seed in range(200):
+        tree = trees.grow(rows, np.random.default_rng(seed))
+        assert np.isfinite(trees.depths(tree, rows)).all() and np.isfinite(tree["threshold"]).all()
+
+
 def brute(points, eps, least):
     near = ((points[:, None, :] - points[None, :, :]) ** 2).sum(-1) <= eps * eps
     core = near.sum(1) >= least

@@ -97,3 +97,42 @@ def test_package_goes_to_the_workers(spark):
     ship_package(spark)
     with zipfile.ZipFile(SparkFiles.get("tidewatch.zip")) as sent:
         assert {"tidewatch/session.py", "tidewatch/functions/trees.py"} <= set(sent.namelist())
+
+
+SHIPPED = """
+import sys
+from tidewatch import get_session
+from tidewatch.session import ship_package
+spark = get_session("shipped", "local-cluster[2,1,700]", **{"spark.executor.memory": "600m", "spark.ui.enabled": "false",
+    "spark.checkpoint.dir": sys.argv[1], "spark.sql.shuffle.partitions": "4"})
+assert ship_package(spark) == ship_package(spark)
+get_session("again")
+assert len(spark.sparkContext.listFiles) == 1
+sys.path.pop(0)
+
+def where(batches):
+    import tidewatch
+    for batch in batches:
+        yield batch.assign(at=tidewatch.__file__)
+
+for _ in range(2):
+    rows = spark.range(0, 100, 1, 6).selectExpr("id % 7 as id").groupBy("id").count().selectExpr("id", "'' as at").mapInPandas(where, "id bigint, at string").collect()
+    assert len(rows) == 7 and all("tidewatch.zip" in r["at"] for r in rows), rows
+spark.stop()
+print("shipped")
+"""
+
+
+def test_workers_run_after_the_package_was_sent(tmp_path):
+    """A session of its own whose workers start in another folder and find the library only in the archive."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[1]
+    script = tmp_path / "job.py"
+    script.write_text(f"import sys\nsys.path.insert(0, {str(root)!r})\n" + SHIPPED)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, str(script), str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert ran.returncode == 0 and "shipped" in ran.stdout, ran.stderr[-3000:]

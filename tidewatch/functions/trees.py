@@ -7,6 +7,7 @@ import math
 import numpy as np
 
 EULER = 0.5772156649
+LARGEST = np.finfo(float).max
 
 
 def average_path(n) -> np.ndarray:
@@ -18,7 +19,14 @@ def average_path(n) -> np.ndarray:
 
 
 def grow(rows: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
-    """Random splits until rows are alone, equal, or the depth limit is met."""
+    """Random splits until rows are alone, equal, or the depth limit is met.
+
+    A cut lies at or above the least value and below the greatest, also where
+    rounding would put it on the greatest, so no side is ever empty. A value that
+    is not a number goes right, here and in ``depths``; infinite ones count as
+    the largest finite.
+    """
+    rows = np.clip(rows, -LARGEST, LARGEST)
     limit = math.ceil(math.log2(max(len(rows), 2)))
     tree = {"feature": [], "threshold": [], "left": [], "right": [], "depth": []}
 
@@ -30,13 +38,15 @@ def grow(rows: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
     todo = [(add(), rows, 0)]
     while todo:
         node, part, depth = todo.pop()
-        low, high = part.min(axis=0), part.max(axis=0)
+        low, high = np.fmin.reduce(part, axis=0), np.fmax.reduce(part, axis=0)
         open_features = np.flatnonzero(high > low)
         if depth >= limit or len(part) <= 1 or not len(open_features):
             tree["depth"][node] = depth + float(average_path(len(part)))
             continue
         feature = int(rng.choice(open_features))
-        cut = float(rng.uniform(low[feature], high[feature]))
+        at = rng.random()  # no difference of the two, which could overflow
+        drawn = low[feature] * (1.0 - at) + high[feature] * at
+        cut = float(min(max(drawn, low[feature]), np.nextafter(high[feature], low[feature])))
         goes_left = part[:, feature] <= cut
         left, right = add(), add()
         tree["feature"][node], tree["threshold"][node] = feature, cut

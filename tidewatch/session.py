@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import io
 import tempfile
 import uuid
 import zipfile
@@ -13,17 +15,37 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 DEFAULT_PARTITIONS = "200"
+ARCHIVE = "tidewatch.zip"
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, for clusters where it is not installed."""
+def ship_package(spark: SparkSession) -> str:
+    """Send this package to the executors' Python workers, for clusters where it is not installed.
+
+    The archive lies in the shared folder, under a name made of its content, and
+    stays there: executors fetch it when their first task starts, which can be
+    long after this call. A session ships it once. Returns where it lies.
+    """
     root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory(prefix="tidewatch-zip-") as folder:
-        archive = Path(folder) / "tidewatch.zip"
-        with zipfile.ZipFile(archive, "w") as out:
-            for source in sorted(root.rglob("*.py")):
-                out.write(source, source.relative_to(root.parent))
-        spark.sparkContext.addPyFile(str(archive))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            # a fixed date: the same sources make the same archive
+            out.writestr(zipfile.ZipInfo(str(source.relative_to(root.parent))), source.read_bytes())
+    content = packed.getvalue()
+    context = spark.sparkContext
+    for uri in context.listFiles:
+        if uri.endswith(f"/{ARCHIVE}"):
+            return uri
+    folder = f"{shared_dir(spark)}/package-{hashlib.sha256(content).hexdigest()[:16]}"
+    # written by Hadoop's file systems, as the shared folder need not be a local path
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{ARCHIVE}")
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path, True)
+    try:
+        stream.write(content)
+    finally:
+        stream.close()
+    context.addPyFile(path.toString())
+    return path.toString()
 
 
 def get_session(app: str = "tidewatch", master: str | None = None, **conf: str) -> SparkSession:
