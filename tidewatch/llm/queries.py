@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import ann, bpe, jaccard, lines, lz, mixing, neighbours, quality, repair, suffix
+from tidewatch.llm import ann, bpe, divergence, jaccard, lines, lz, mixing, neighbours, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_divergence"] = divergence.ORACLE
