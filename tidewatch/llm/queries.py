@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import ann, bpe, divergence, jaccard, lines, lz, mixing, neighbours, quality, repair, suffix
+from tidewatch.llm import ann, bpe, divergence, jaccard, ledger, lines, lz, mixing, neighbours, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,11 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.digests(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_secrets"] = ledger.ORACLE
