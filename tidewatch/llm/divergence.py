@@ -167,7 +167,7 @@ def pairs(bits: DataFrame, groups: DataFrame, words: int = WORDS, in_tile: int =
     right = _tiled(listed.select("lang", "part", "place", "groups", "source", "p_none", "kinds"), in_tile)
     key = ["lang", "part", "first", "second"]
 
-    def compare(key, here: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    def compare(key: tuple, here: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         return _compare(key, here, known, words, in_tile)
 
     added = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(compare, "lang string, source string, item string, value bigint")

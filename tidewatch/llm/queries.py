@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import ann, bpe, divergence, jaccard, ledger, lines, lz, mixing, neighbours, quality, repair, suffix
+from tidewatch.llm import ann, bpe, divergence, jaccard, ledger, lines, lz, merkle, mixing, neighbours, quality, repair, suffix
 from tidewatch.llm.tables import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,3 +103,11 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_secrets"] = ledger.ORACLE
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_manifest"] = merkle.ORACLE
