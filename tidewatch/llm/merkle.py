@@ -240,7 +240,8 @@ def manifest(docs: DataFrame, *, key: str = "doc_id", group: str = "lang", field
         F.unhex(F.lit(None).cast("string") if claimed is None else claimed).alias("claimed"),
         F.rand(13).alias("_any"),  # equal rows are interchangeable; this keeps a hot one out of a single range
     )
-    placed = number_rows(row, ["lang"], ["carry", "digest", "_any"], n="n")
+    # texts are read and hashed once; ranges are then sampled and cut over the leaves alone
+    placed = number_rows(settle(row), ["lang"], ["carry", "digest", "_any"], n="n")
     placed = settle(placed.select("lang", "carry", "digest", "claimed", (F.col("rn") - 1).alias("idx"), "n"))
     langs = placed.groupBy("lang").agg(F.max("n").alias("n")).withColumn("_all", F.lit(0))
     langs = settle(number_rows(langs, ["_all"], ["lang"], n="trees").select("lang", (F.col("rn") - 1).alias("tree"), F.col("trees").cast("bigint").alias("trees")))
