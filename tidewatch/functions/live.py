@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from tidewatch.functions.trees import grow, score
+from tidewatch.functions.trees import flat, grow_all, score
 
 # The live detector's settings.
 WINDOW, RETRAIN, WARMUP = 200, 50, 30
@@ -30,10 +30,8 @@ class WindowModel:
     def __init__(self, rows: np.ndarray, epoch: int, settings: Settings = Settings()):
         self.mean, self.std = rows.mean(axis=0), rows.std(axis=0)
         self.size = min(SAMPLE, len(rows))
-        self.trees = []
-        for tree in range(settings.trees):
-            rng = np.random.default_rng([settings.seed, epoch, tree])
-            self.trees.append(grow(rows[rng.permutation(len(rows))[: self.size]], rng))
+        drawn = [rows[np.random.default_rng([settings.seed, epoch, t]).permutation(len(rows))[: self.size]] for t in range(settings.trees)]
+        self.trees = flat(grow_all(drawn, settings.seed * 1_000_003 + epoch))
         self.cut = float(np.percentile(score(self.trees, rows, self.size), 100 * settings.contamination))
 
     def decide(self, rows: np.ndarray) -> np.ndarray:

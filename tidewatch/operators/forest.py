@@ -16,13 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.functions.trees import grow, score
+from tidewatch.functions.trees import flat, grow_all, score
 from tidewatch.layout import attach, exact_quantiles, join_keys
 from tidewatch.operators.vectors import topk
 from tidewatch.session import settle
 
 SAMPLE = 256
 SCORE_ROWS = 1 << 19
+TOGETHER = 10  # trees of a scope that are grown in one go
 
 
 def _share(*columns) -> Column:
@@ -65,15 +66,18 @@ def fit_forest(
     scope, features = list(scope), list(features)
 
     def build(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("rank")
-        tree = grow(part[features].to_numpy(float), np.random.default_rng([seed, int(part["tree"].iloc[0])]))
-        return pd.DataFrame([[*part[scope].iloc[0], int(part["tree"].iloc[0]), len(part), *tree.values()]],
-                            columns=[*scope, "tree", "rows", *tree])
+        part = part.sort_values(["tree", "rank"])
+        numbers, first = np.unique(part["tree"].to_numpy(), return_index=True)
+        samples = np.split(part[features].to_numpy(float), first[1:])
+        grown = [grow_all([rows], seed, int(n))[0] for n, rows in zip(numbers, samples)] if len(set(np.diff(numbers))) > 1 else grow_all(samples, seed, int(numbers[0]))
+        names = part[scope].iloc[0].tolist()
+        return pd.DataFrame([[*names, int(n), len(rows), *tree.values()] for n, rows, tree in zip(numbers, samples, grown)],
+                            columns=[*scope, "tree", "rows", *grown[0]])
 
     # an explicit number of partitions, as the few rows of a tree cost more to grow than to move
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    samples = tree_samples(df, scope, key, features, trees, seed, sample).repartition(parts, *scope, "tree")
-    return samples.groupBy(*scope, "tree").applyInPandas(
+    samples = tree_samples(df, scope, key, features, trees, seed, sample).withColumn("_run", F.floor(F.col("tree") / TOGETHER))
+    return samples.repartition(parts, *scope, "_run").groupBy(*scope, "_run").applyInPandas(
         build,
         f"{head}, tree int, rows int, feature array<int>, threshold array<double>, left array<int>, right array<int>, "
         "depth array<double>",
@@ -98,7 +102,7 @@ def score_rows(
             return pd.DataFrame(columns=[*columns, "score"])
         ordered = trees.sort_values("tree").to_dict("records")
         part = part[columns].copy()
-        part["score"] = score(ordered, part[features].to_numpy(float), int(ordered[0]["rows"]))
+        part["score"] = score(flat(ordered), part[features].to_numpy(float), int(ordered[0]["rows"]))
         return part
 
     by = [*scope, "_blk"]
@@ -110,6 +114,7 @@ def detect(
     contamination: float = 0.05, seed: int = 42,
 ) -> DataFrame:
     """Fit, score and flag: ``decision = score - quantile(score, contamination)``, anomalous below 0."""
+    df = settle(df)  # the rows are read four times, and features are often windows over all of them
     forest = fit_forest(df, scope, key, features, trees, seed)
     # scored once, read by the quantile and by the result
     scored = settle(score_rows(df, forest, scope, key, features))

@@ -96,9 +96,32 @@ def batch_ticks(t):
     return attach(out.withColumn("_one", F.lit(1)), last.withColumn("_one", F.lit(1)), ["_one"]).filter("tick <= _last").drop("_one", "_last")
 
 
+SHARDS = 4
+
+
+def sharded(events):
+    """Samples with the shard of the user they come from, as a host's label would be."""
+    shard = F.concat(F.lit("shard-"), F.pmod(F.col("user_id"), F.lit(SHARDS)).cast("string"))
+    return events.select(F.coalesce(shard, F.lit("none")).alias("shard"), F.col("event_type").alias("series"), "ts", "value")
+
+
+def shard_ticks(t):
+    """Complete four-hour ticks of each shard that eight hours of delay leave closed at the last event, as on the stream."""
+    out = ticks(sharded(t.table("events")), KINDS, "4 hours", metric="series", scope="shard")
+    closed = t.table("events").filter(F.col("event_type").isin(list(KINDS))).agg((F.max("ts") - F.expr("INTERVAL 8 HOURS")).alias("_closed"))
+    return out.join(closed, F.col("tick") <= F.col("_closed")).drop("_closed")
+
+
 def stream_ticks(t):
-    events = event_stream(t.spark, t.sf_dir).select(F.col("event_type").alias("series"), "ts", "value")
-    return ticks(events, KINDS, "4 hours", metric="series", delay="8 hours")
+    return ticks(sharded(event_stream(t.spark, t.sf_dir)), KINDS, "4 hours", metric="series", scope="shard", delay="8 hours")
+
+
+SHARD_TICKS = f"""sh AS (SELECT coalesce('shard-' || (((user_id % {SHARDS}) + {SHARDS}) % {SHARDS})::VARCHAR, 'none') AS scope,
+  time_bucket(INTERVAL 4 HOUR, ts, TIMESTAMP '2024-01-01') + INTERVAL 4 HOUR AS tick, event_type, ts FROM events
+  WHERE event_type IN ({', '.join(f"'{k}'" for k in KINDS)})),
+st AS (SELECT scope, tick, row_number() OVER (PARTITION BY scope ORDER BY tick) AS checks FROM
+  (SELECT scope, tick FROM sh GROUP BY ALL HAVING count(DISTINCT event_type) = {len(KINDS)}
+   AND tick <= (SELECT max(ts) - INTERVAL 8 HOUR FROM sh)))"""
 
 
 TICKS = """g AS (SELECT time_bucket(INTERVAL 4 HOUR, ts, TIMESTAMP '2024-01-01') + INTERVAL 4 HOUR AS tick, series, ts, value FROM gauge),
@@ -142,7 +165,7 @@ def explain_stream(t):
 
 @query("detect_batch")
 def detect_batch(t):
-    return detector.detect_batch(batch_ticks(t), KINDS)
+    return detector.detect_batch(shard_ticks(t), KINDS)
 
 
 @query("stream_detect")
@@ -155,6 +178,18 @@ def stream_window(t):
     return run_once(detector.detect_stream(stream_ticks(t), KINDS)).select("scope", "tick", "checks", "window_rows", "status")
 
 
+@query(
+    "stream_epochs",
+    f"WITH {SHARD_TICKS} SELECT scope, tick, checks, least(checks, 200)::INTEGER AS window_rows, "
+    "CASE WHEN checks >= 30 THEN (checks - 30) // 50 ELSE -1 END AS epoch, checks < 30 AS collecting FROM st",
+)
+def stream_epochs(t):
+    """Which model judges each tick of the live detector, and on how much history."""
+    out = run_once(detector.detect_stream(stream_ticks(t), KINDS))
+    epoch = F.coalesce("epoch", F.lit(-1)).alias("epoch")
+    return out.select("scope", "tick", "checks", "window_rows", epoch, (F.col("status") == detector.COLLECTING).alias("collecting"))
+
+
 @query("stream_sliding")
 def stream_sliding(t):
     events = event_stream(t.spark, t.sf_dir).select(F.col("event_type").alias("series"), "ts", "value")

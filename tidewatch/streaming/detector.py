@@ -7,7 +7,9 @@ tick from then on is scored and explained.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
+from datetime import timedelta
 
 import numpy as np
 import pandas as pd
@@ -24,69 +26,85 @@ VERDICT = (
     "is_anomaly boolean, reason string, anomalies bigint"
 )
 COLLECTING, NORMAL, ANOMALY = "COLLECTING", "NORMAL", "ANOMALY"
+MODELS = 32
 
 
 class _Detector(StatefulProcessor):
-    """State per scope: recent history, the last training window, and counters."""
+    """State per scope: recent history, the last training window, and counters.
 
-    def __init__(self, metrics: Sequence[str], settings: Settings):
-        self.metrics, self.settings = list(metrics), settings
-        self.models: dict[tuple, WindowModel] = {}
+    Of a batch's ticks, all that one model judges are scored together. A worker
+    keeps the models of the ``models`` scopes it met last; others are grown again
+    from the training window in the state, which gives the same model.
+    """
+
+    def __init__(self, metrics: Sequence[str], settings: Settings, idle: timedelta | None, models: int):
+        self.metrics, self.settings, self.idle, self.most = list(metrics), settings, idle, models
+        self.models: OrderedDict[tuple, tuple[int, WindowModel]] = OrderedDict()
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState(
-            "history",
-            "recent array<double>, trained array<double>, epoch bigint, checks bigint, anomalies bigint, since bigint",
-        )
+        kept = {"ttlDurationMs": int(self.idle / timedelta(milliseconds=1))} if self.idle else {}
+        self.state = handle.getValueState("history", "recent array<double>, trained array<double>, epoch bigint, checks bigint, anomalies bigint", **kept)
 
     def _model(self, key, rows: np.ndarray, epoch: int) -> WindowModel:
-        """Grown again from the kept window when this worker does not hold it."""
-        held = self.models.get(key)
+        held = self.models.pop(key, None)
         if held is None or held[0] != epoch:
-            self.models = {key: (epoch, WindowModel(rows, epoch, self.settings))}
-        return self.models[key][1]
+            held = (epoch, WindowModel(rows, epoch, self.settings))
+        self.models[key] = held
+        if len(self.models) > self.most:
+            self.models.popitem(last=False)
+        return held[1]
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         width, conf = len(self.metrics), self.settings
+        recent, trained, epoch, checks, anomalies = np.empty((0, width)), np.empty((0, width)), -1, 0, 0
         if self.state.exists():
-            recent, trained, epoch, checks, anomalies, since = self.state.get()
-            recent = [list(x) for x in np.asarray(recent, float).reshape(-1, width)]
-            trained = np.asarray(trained, float).reshape(-1, width)
-        else:
-            recent, trained, epoch, checks, anomalies, since = [], np.empty((0, width)), -1, 0, 0, 0
+            recent, trained, epoch, checks, anomalies = self.state.get()
+            recent, trained = (np.asarray(x, float).reshape(-1, width) for x in (recent, trained))
         batch = pd.concat(list(rows), ignore_index=True).sort_values("tick")
-        out = []
-        for tick, *values in batch[["tick", *self.metrics]].itertuples(index=False, name=None):
-            recent = [*recent, values][-conf.window :]
-            checks, since = checks + 1, since + 1
-            if (epoch < 0 or since >= conf.retrain) and len(recent) >= conf.warmup:
-                trained, epoch, since = np.asarray(recent, float), epoch + 1, 0
-            if epoch < 0:
-                out.append((key[0], tick, checks, len(recent), None, COLLECTING, None, None, None, anomalies))
-                continue
-            model = self._model(key, trained, epoch)
-            row = np.asarray(values, float)
-            decision = float(model.decide(row[None, :])[0])
-            anomalies += decision < 0
-            reason = model.reason(row, self.metrics) if decision < 0 else None
-            out.append((key[0], tick, checks, len(recent), epoch, ANOMALY if decision < 0 else NORMAL, decision, decision < 0, reason, anomalies))
-        flat = [float(v) for r in recent for v in r]
-        self.state.update((flat, [float(v) for v in trained.ravel()], int(epoch), int(checks), int(anomalies), int(since)))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in VERDICT.split(", ")]).astype({"epoch": "Int64", "is_anomaly": "boolean"})
+        values = batch[self.metrics].to_numpy(float)
+        known = np.concatenate([recent, values])
+        number = checks + 1 + np.arange(len(batch))
+        of_epoch = np.where(number >= conf.warmup, (number - conf.warmup) // conf.retrain, -1)
+        decision, reason = np.full(len(batch), np.nan), np.full(len(batch), None, object)
+        for e in np.unique(of_epoch[of_epoch >= 0]).tolist():
+            here = np.flatnonzero(of_epoch == e)
+            if e != epoch:
+                # the tick that trains is in this batch, and what came before it in the window is still known
+                end = len(recent) + e * conf.retrain + conf.warmup - checks
+                trained, epoch = known[max(0, end - conf.window) : end], e
+            model = self._model(key, trained, e)
+            decision[here] = model.decide(values[here])
+            for i in here[decision[here] < 0]:
+                reason[i] = model.reason(values[i], self.metrics)
+        bad, scored = decision < 0, of_epoch >= 0
+        total = anomalies + np.cumsum(bad)
+        recent = known[-conf.window :]
+        self.state.update((recent.ravel().tolist(), trained.ravel().tolist(), int(epoch), int(number[-1]), int(total[-1])))
+        yield pd.DataFrame({
+            "scope": key[0], "tick": batch["tick"].to_numpy(), "checks": number, "window_rows": np.minimum(number, conf.window).astype(np.int32),
+            "epoch": pd.Series(of_epoch, dtype="Int64").where(scored), "status": np.where(scored, np.where(bad, ANOMALY, NORMAL), COLLECTING),
+            "score": decision, "is_anomaly": pd.Series(bad, dtype="boolean").where(scored), "reason": reason, "anomalies": total,
+        })
 
     def close(self) -> None:
         pass
 
 
-def detect_stream(ticks: DataFrame, metrics: Sequence[str], settings: Settings = Settings()) -> DataFrame:
+def detect_stream(
+    ticks: DataFrame, metrics: Sequence[str], settings: Settings = Settings(), idle: timedelta | None = None, models: int = MODELS
+) -> DataFrame:
     """Verdict per tick of a streaming frame ``scope, tick, <metrics>``.
 
     Ticks of a scope must arrive in order between batches (any order inside
-    one); a windowed aggregation with watermark in front gives that.
+    one); a windowed aggregation with watermark in front gives that. Scopes are
+    spread over the tasks by key. The state of a scope that has sent nothing for
+    ``idle`` of processing time is dropped; it starts anew when it comes back.
     """
-    return ticks.groupBy("scope").transformWithStateInPandas(
-        _Detector(metrics, settings), VERDICT, outputMode="append", timeMode="none"
+    scored = ticks.groupBy("scope").transformWithStateInPandas(
+        _Detector(metrics, settings, idle, models), VERDICT, outputMode="append", timeMode="processingTime" if idle else "none"
     )
+    # a warm-up tick has no score; pandas has no other null for doubles
+    return scored.withColumn("score", F.when(F.col("status") != COLLECTING, F.col("score")))
 
 
 def epochs(ticks: DataFrame, settings: Settings = Settings()) -> DataFrame:
