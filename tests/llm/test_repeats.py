@@ -7,7 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tidewatch.llm import lines, lz, suffix, textscan
+from pyspark.sql import functions as F
+
+from tidewatch.llm import jaccard, lines, lz, seeds, suffix, textscan
 from tidewatch.llm.queries import ORACLES, QUERIES
 
 
@@ -145,3 +147,40 @@ def test_line_cases(spark):
     assert by[4][0] == by[4][1] and by[5][0].n_lines == 3001
     plan = lines.dedup(spark.createDataFrame(rows, "doc_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _alike(spark, bits):
+    """Two texts of different words whose hashes end in the same bits."""
+    words = F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id").cast("string")) for c in "abcdefgh"])
+    each = spark.range(20_000).select(words.alias("text")).withColumn("h", F.xxhash64("text").bitwiseAND(F.lit((1 << bits) - 1)))
+    return each.groupBy("h").agg(F.collect_list("text").alias("t")).filter("size(t) > 1").first()["t"][:2]
+
+
+def test_rows_without_ids_are_told_apart_by_more_than_a_few_bits(spark):
+    """Texts that agree in 24 bits of their hash and have nothing else in common."""
+    import corpus_pipeline
+
+    one, two = _alike(spark, 24)
+    rows = [(None, one, "en", "s", 1), (None, two, "en", "s", 1), (9, one, "en", "s", 1), (9, two, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r.text for r in kept.collect()) == sorted([one, two])
+    assert sorted((r.doc_id or 0, r.n_shingles) for r in jaccard.join(docs).collect()) == [(0, 5)] * 2 + [(9, 5)] * 2
+    tags = {(r.doc_id, r.text): r.tag for r in seeds.tagged(docs.unionByName(docs.limit(0))).collect()}
+    assert len(set(tags.values())) == 2 and 0 not in tags.values()
+    assert {r.tag for r in seeds.tagged(docs.filter("doc_id = 9").limit(1)).collect()} == {0}
+
+
+def test_anchors_beyond_the_packed_positions(monkeypatch):
+    rng = np.random.default_rng(3)
+    grams = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
+    grams[500:900] = grams[500]
+    first, last = np.array([0]), np.array([3000 - 16])
+    monkeypatch.setattr(textscan, "POS_BITS", 12)
+    packed = textscan.anchors(grams, first, last, 16)
+    mask = ~np.uint64((1 << 12) - 1)
+    wide = textscan._leftmost_least(grams & mask, 16)
+    plain = [i + int(np.argmin((grams & mask)[i : i + 16])) for i in range(3000 - 15)]
+    assert wide.tolist() == plain and packed[0].tolist() == sorted(set(plain))
+    monkeypatch.setattr(textscan, "POS_BITS", 11)
+    assert textscan.anchors(grams, first, last, 16)[0].max() < 3000

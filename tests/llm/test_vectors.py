@@ -129,3 +129,10 @@ def test_partitions_are_balanced():
     x = np.random.default_rng(1).normal(size=(512, 8))
     part = ann.balanced_parts(x, ann.neighbour_graph(x, 8), 8)
     assert np.bincount(part).tolist() == [64] * 8
+
+
+def test_ids_that_repeat_are_judged_by_their_own_vectors(spark):
+    rows = [(7, [1.0, 0.0]), (7, [0.0, 1.0]), (9, [1.0, 0.01]), (9, None), (11, [0.0, 1.0]), (9, [0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = sorted(map(tuple, neighbours.near_duplicates(frame).select("vec_id", "n_links", "component_id", "kept").collect()))
+    assert got == sorted([(7, 1, 7, True), (7, 1, 7, True), (9, 1, 7, False), (9, 0, 9, True), (11, 1, 7, False), (9, 0, 9, True)])

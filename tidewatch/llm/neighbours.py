@@ -336,18 +336,23 @@ def near_duplicates(table: DataFrame, threshold: float = 0.9, key: str = "vec_id
 
     Rows that are no vectors have no links and are their own component. Equal
     vectors (up to length too, once normalised by their own values) are linked
-    with each other. A null id has a null component and is kept.
+    with each other. A null id has a null component and is kept; such rows take
+    no part. Rows that share an id are judged each by its own vector.
     """
     rows = vectors.valid(table, key, vector)
-    classes = settle(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("mult")))
+    # a node is a distinct vector under a number of its own, written once: ids may repeat
+    classes = rows.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("mult"))
+    classes = settle(classes.withColumn("id", F.monotonically_increasing_id()))
     if classes.isEmpty():
-        found = classes.select(F.col("id").alias("_id"), F.lit(0).cast("bigint").alias("links"), F.col("id").alias("component"))
+        lone = classes.select("v", F.lit(0).cast("bigint").alias("links"), F.col("least").alias("component"))
     else:
-        belongs, links = graph(classes, threshold)
-        lone = classes.select("v", "id", "mult").join(belongs, "id", "left").join(links, "id", "left")
-        lone = lone.select(F.col("v").alias("_v"), (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"), F.coalesce("component", "id").alias("component"))
-        found = rows.join(lone, rows["v"] == F.col("_v")).select(F.col("id").alias("_id"), "links", "component").distinct()
-    own = F.col(key).cast("bigint")
-    every = table.select(own.alias("vec_id")).join(found, F.col("vec_id") == F.col("_id"), "left")
+        belongs, links = graph(classes.select("id", "v", "mult"), threshold)
+        named = classes.join(belongs, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        lowest = named.groupBy("component").agg(F.min("least").alias("lowest"))
+        named = named.join(links, "id", "left").join(lowest, "component")
+        lone = named.select("v", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("links"), F.col("lowest").alias("component"))
+    taking = F.col(key).isNotNull() & vectors.proper(F.col(vector))
+    every = table.select(F.col(key).cast("bigint").alias("vec_id"), F.when(taking, F.col(vector)).alias("_v"))
+    found = every.join(lone, F.col("_v") == F.col("v"), "left")
     component = F.coalesce("component", "vec_id")
-    return every.select("vec_id", F.coalesce("links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))
+    return found.select("vec_id", F.coalesce("links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

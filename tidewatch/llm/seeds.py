@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm import textscan
+from tidewatch.session import settle
 
 
 # Grams are counted by 48 bits of their hash: two that fall together only let a few more windows through.
@@ -84,13 +85,23 @@ class WordWindows:
 
 
 def keyed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, tag, text``. The tag, a short hash of the text, tells rows apart that share an id but not a text."""
-    return docs.select(F.col(key).cast("bigint").alias("doc_id"), tag(F.col(text)).alias("tag"), F.col(text).alias("text"))
+    """``doc_id, tag, text``."""
+    return tagged(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))).select("doc_id", "tag", "text")
 
 
-def tag(text: Column) -> Column:
-    # never null, so that inner and outer joins read the same shuffled rows
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << 24) - 1))
+def tagged(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``tag`` that tells rows apart which share a ``doc_id``, or have none, but not a ``text``.
+
+    It is a 64-bit hash of the text where the id is not the row's own, and 0
+    elsewhere, so it is never null and costs nothing in shuffles of unique ids.
+    The ids that repeat are counted and written when this is called; Spark sends
+    them to the rows, or shuffles both, by their true size.
+    """
+    own = F.col("doc_id").cast("bigint")
+    again = settle(docs.groupBy(own.alias("_again")).agg(F.count("*").alias("_n")).filter((F.col("_n") > 1) | F.col("_again").isNull()).select("_again", F.lit(True).alias("_shared")))
+    joined = docs.join(again, own.eqNullSafe(F.col("_again")), "left")
+    tag = F.when(F.col("_shared"), F.xxhash64(F.col("text"))).otherwise(F.lit(0).cast("bigint"))
+    return joined.withColumn("tag", F.coalesce(tag, F.lit(0).cast("bigint"))).select(*docs.columns, "tag")
 
 
 def on_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:

@@ -138,6 +138,15 @@ def word_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.nda
     return span_hash(byte_sums(data), start, stop)
 
 
+def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
+    """Where the least of every run of ``width`` values stands, for positions that do not fit beside the hash."""
+    at, step = np.arange(len(values)), 1
+    while step < width:
+        at = np.where(values[at[:-step]] <= values[at[step:]], at[:-step], at[step:])
+        step *= 2
+    return at
+
+
 def anchors(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
     """Choose one gram in every window of ``width`` (a power of two) grams, by content alone.
 
@@ -150,12 +159,16 @@ def anchors(grams: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
     if len(grams) < width:
         return none, none, none, none
     mask = ~np.uint64((1 << POS_BITS) - 1)
-    least = (grams & mask) | np.arange(len(grams), dtype=np.uint64)
-    step = 1
-    while step < width:
-        least = np.minimum(least[:-step], least[step:])
-        step *= 2
-    at = (least & ~mask).astype(np.int64)
+    if len(grams) >> POS_BITS:
+        at = _leftmost_least(grams & mask, width)
+    else:
+        # the position in the lower bits settles ties: the leftmost wins
+        least = (grams & mask) | np.arange(len(grams), dtype=np.uint64)
+        step = 1
+        while step < width:
+            least = np.minimum(least[:-step], least[step:])
+            step *= 2
+        at = (least & ~mask).astype(np.int64)
     rows = np.flatnonzero(last >= first)
     lens = (last - first + 1)[rows]
     row_begin = first[rows]

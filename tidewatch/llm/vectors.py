@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def proper(v: Column) -> Column:
+    """Whether a vector is not null, not zero and holds finite numbers only; false or null otherwise."""
+    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return v.isNotNull() & finite & F.exists(v, lambda x: x != 0)
+
+
 def valid(table: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``id, v``: rows whose vector is not null, not zero and holds finite numbers only.
 
@@ -15,9 +21,7 @@ def valid(table: DataFrame, key: str = "vec_id", vector: str = "embedding") -> D
     frequent) take no part, nor do rows without an id.
     """
     v = F.col(vector)
-    finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    some = F.exists(v, lambda x: x != 0)
-    rows = table.filter(F.col(key).isNotNull() & v.isNotNull()).filter(finite & some)
+    rows = table.filter(F.col(key).isNotNull() & proper(v))
     rows = rows.select(F.col(key).cast("bigint").alias("id"), v.alias("v"))
     lengths = rows.groupBy(F.size("v").alias("n")).count()
     usual = lengths.orderBy(F.desc("count"), "n").limit(1).select("n")
