@@ -39,7 +39,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     found = jaccard.join(docs)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tag")
     lead = found.filter("component IS NOT NULL").groupBy("component").agg(F.min_by(F.struct("doc_id", "tag"), order).alias("at"))
-    tagged = docs.select(*COLUMNS).withColumn("tag", seeds.tag(F.col("text")))
+    tagged = seeds.tagged(docs.select(*COLUMNS))
     worded = tagged.filter(word_count(F.col("text")) > 0)
     kept = seeds.on_key(worded, lead.select("at.doc_id", "at.tag"), "left_semi").dropDuplicates(["doc_id", "tag"])
     return kept.unionByName(tagged.filter(word_count(F.col("text")) == 0)).select(*COLUMNS)
@@ -47,7 +47,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice. Rows that repeat count once."""
-    tagged = docs.select(*COLUMNS).withColumn("tag", seeds.tag(F.col("text")))
+    tagged = seeds.tagged(docs.select(*COLUMNS))
     sized = tagged.select("doc_id", "tag", "source", word_count(F.col("text")).alias("size")).dropDuplicates(["doc_id", "tag"])
     taken = mixing.mix(sized).filter("copies > 0").select("doc_id", "tag", "copies")
     joined = seeds.on_key(tagged, taken, "inner")
