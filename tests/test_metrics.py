@@ -196,3 +196,41 @@ def test_explanation_text(spark):
     frame = spark.createDataFrame([(85.0, 10.0, 45.0, 10.0, 9.0, 0.0)], "cpu double, mem double, cpu_mean double, cpu_std double, mem_mean double, mem_std double")
     row = frame.withColumn("reason", stats.reasons(["cpu", "mem"])).select("reason", joined_reasons("reason").alias("t")).first()
     assert len(row.reason) == 1 and row.reason[0].z == pytest.approx(4.0) and row.t == "cpu=85.0 (HIGH, z=+4.0)"
+
+
+@pytest.mark.parametrize("n", [1, 7, 8, 9, 12, 19, 40, 79, 80, 130])
+def test_adaptive_band_has_a_width_for_each_series(series, n):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(n)
+    values = [None if i == 5 and n == 40 else rng.gauss(0, 1) for i in range(n)]
+    got = rolling.adaptive_band(series({"a": list(enumerate(values)), "b": [(0, 1.0)]}), ["series"], ["ts"], block_rows=32).collect()
+    rows = sorted((r for r in got if r.series == "a"), key=lambda r: r.ts)
+    width = min(20, n // 4)
+    assert len(rows) == n and len(got) == n + 1 and {r.width for r in rows} == {width}
+    for i, r in enumerate(rows):
+        frame = values[max(0, i + (width - 1) // 2 - width + 1) : i + (width - 1) // 2 + 1]
+        whole = width > 1 and i + (width - 1) // 2 - width + 1 >= 0 and len(frame) == width and None not in frame
+        assert (r.upper is not None) == whole
+        if whole:
+            mean, std = np.mean(frame), np.std(frame, ddof=1)
+            assert r.upper == pytest.approx(mean + 2 * std) and r.lower == pytest.approx(mean - 2 * std)
+            assert r.is_anomaly == (abs(values[i] - mean) > 2 * std)
+
+
+def test_many_silences_of_one_rule(spark):
+    """A hundred thousand, overlapping, touching, empty and reversed, against their union."""
+    at = lambda c: F.timestamp_seconds(c)
+    spans = spark.range(100_000).select(
+        F.lit("r").alias("rule"), at(F.col("id") * 50).alias("starts_at"), at(F.col("id") * 50 + (F.col("id") % 7) * 10 - 5).alias("ends_at")
+    )
+    rows = spark.range(0, 5_000_000, 997).select(F.lit("r").alias("rule"), at("id").alias("eval_ts"))
+    rows = rows.unionByName(rows.withColumn("rule", F.lit("other")))
+    covered = [(50 * i, 50 * i + i % 7 * 10 - 5) for i in range(100_000)]
+    inside = lambda t: any(a <= t < b for a, b in covered[max(0, t // 50 - 2) : t // 50 + 1])
+    left = {(r.rule, int(r.u)) for r in alerts.silence(rows, spans).selectExpr("rule", "unix_seconds(eval_ts) as u").collect()}
+    assert left == {("r", t) for t in range(0, 5_000_000, 997) if not inside(t)} | {("other", t) for t in range(0, 5_000_000, 997)}
+    days = spark.createDataFrame([("r", 100, 40 * 86400)], "rule string, a bigint, b bigint").select("rule", at("a").alias("starts_at"), at("b").alias("ends_at"))
+    assert alerts.silence(rows, days).filter("rule = 'r'").count() == sum(not 100 <= t < 40 * 86400 for t in range(0, 5_000_000, 997))

@@ -17,6 +17,8 @@ from tidewatch.layout import attach
 from tidewatch.model import Rule, from_micros, micros, span_us
 from tidewatch.operators.selectors import COMPARE
 
+DAY_US = 86_400_000_000
+
 
 def _by_rule(rules: Sequence[Rule], pick) -> Column:
     out = None
@@ -124,14 +126,25 @@ def payloads(notices: DataFrame) -> DataFrame:
 
 
 def silence(alerts: DataFrame, silences: DataFrame) -> DataFrame:
-    """Alerts outside every silence ``(rule, starts_at, ends_at)``.
+    """Alerts outside every silence ``(rule, starts_at, ends_at)``; an end is not part of its silence.
 
-    The interval table is reduced to one array of intervals per rule, so alert
-    rows meet one row each.
+    Silences of a rule that overlap or touch are united, then cut at midnight,
+    so an alert meets the few pieces of its rule and day and however many
+    silences a rule has, none is held together with the others. A silence that
+    lacks a bound or ends before it begins silences nothing.
     """
-    spans = silences.groupBy("rule").agg(F.collect_list(F.struct("starts_at", "ends_at")).alias("_s"))
-    inside = F.exists("_s", lambda s: (F.col("eval_ts") >= s["starts_at"]) & (F.col("eval_ts") < s["ends_at"]))
-    return attach(alerts, spans, ["rule"], how="left").filter(~F.coalesce(inside, F.lit(False))).drop("_s")
+    real = silences.select("rule", "starts_at", "ends_at").filter("starts_at < ends_at")
+    line = Window.partitionBy("rule").orderBy("starts_at", "ends_at")
+    so_far = F.max("ends_at").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    opens = so_far.isNull() | (F.col("starts_at") > so_far)
+    number = F.count_if("_opens").over(line.rowsBetween(Window.unboundedPreceding, 0))
+    united = real.withColumn("_opens", opens).withColumn("_no", number)
+    united = united.groupBy("rule", "_no").agg(F.min("starts_at").alias("_from"), F.max("ends_at").alias("_to"))
+    day = lambda c: F.floor(micros(c) / F.lit(DAY_US))
+    last = F.floor((micros("_to") - 1) / F.lit(DAY_US))
+    pieces = united.select(F.col("rule").alias("_rule"), "_from", "_to", F.explode(F.sequence(day("_from"), last)).alias("_day"))
+    hit = (F.col("rule") == F.col("_rule")) & (day("eval_ts") == F.col("_day")) & (F.col("eval_ts") >= F.col("_from")) & (F.col("eval_ts") < F.col("_to"))
+    return alerts.join(pieces, hit, "left_anti")
 
 
 def deduplicate(alerts: DataFrame, labels: Sequence[str]) -> DataFrame:

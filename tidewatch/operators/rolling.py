@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.layout import BLOCK_ROWS, attach, exact_quantiles, join_keys, windowed
@@ -45,16 +45,50 @@ def centred_band(
         mean, std = _guarded(w.rowsBetween(-back, ahead), "value", rows)
         return {"band_mean": mean, "band_std": std}
 
-    out = windowed(df, by, order, columns, before=back, after=ahead, block_rows=block_rows)
-    return out.withColumns(
-        {
-            "upper": F.col("band_mean") + k * F.col("band_std"),
-            "lower": F.col("band_mean") - k * F.col("band_std"),
-        }
-    ).withColumn(
-        "is_anomaly",
-        F.coalesce((F.col("value") > F.col("upper")) | (F.col("value") < F.col("lower")), F.lit(False)),
+    return _outside(windowed(df, by, order, columns, before=back, after=ahead, block_rows=block_rows), k)
+
+
+def _outside(rows: DataFrame, k: float) -> DataFrame:
+    """``upper``, ``lower`` and ``is_anomaly`` from the mean and deviation of a band."""
+    rows = rows.withColumns({"upper": F.col("band_mean") + k * F.col("band_std"), "lower": F.col("band_mean") - k * F.col("band_std")})
+    beyond = (F.col("value") > F.col("upper")) | (F.col("value") < F.col("lower"))
+    return rows.withColumn("is_anomaly", F.coalesce(beyond, F.lit(False)))
+
+
+def adaptive_band(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], most: int = 20, share: int = 4, k: float = 2.0,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """``centred_band`` whose width each series gets from its length: ``min(most, n // share)`` rows, in ``width``.
+
+    A series under ``2 * share`` rows has no band. Series of ``most * share`` rows
+    and more go through blocks as in ``centred_band``; shorter ones are small
+    enough to be one group each, where a frame is cut out of the ``most`` rows around.
+    """
+    sizes = df.groupBy(*by).agg(F.count("*").alias("_n"))
+    rows = attach(df, sizes, by)
+    long = centred_band(rows.filter(F.col("_n") >= most * share).drop("_n"), by, order, most, k, block_rows)
+    long = long.withColumn("width", F.lit(most).cast("bigint"))
+
+    width = F.floor(F.col("_n") / share)
+    ahead = F.floor((width - 1) / 2)
+    back = width - 1 - ahead
+    reach = most - 1 - (most - 1) // 2
+    line = Window.partitionBy(*by).orderBy(*order)
+    short = rows.filter(F.col("_n") < most * share).withColumns(
+        {"_rn": F.row_number().over(line), "_around": F.collect_list(F.struct("value")).over(line.rowsBetween(-reach, (most - 1) // 2)), "width": width}
     )
+    first = F.col("_rn") - back
+    whole = (width > 1) & (first >= 1) & (F.col("_rn") + ahead <= F.col("_n"))
+    at = first - F.greatest(F.lit(1), F.col("_rn") - reach) + 1
+    frame = F.transform(F.slice("_around", at.cast("int"), width.cast("int")), lambda x: x["value"])
+    short = short.withColumn("_frame", F.when(whole, frame)).withColumn("_frame", F.when(F.forall("_frame", lambda x: x.isNotNull()), F.col("_frame")))
+    total = lambda values: F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+    short = short.withColumn("band_mean", total(F.col("_frame")) / width)
+    squares = F.transform("_frame", lambda x: (x - F.col("band_mean")) * (x - F.col("band_mean")))
+    short = _outside(short.withColumn("band_std", F.sqrt(F.try_divide(total(squares), width - 1))), k)
+    kept = [*df.columns, "width", "band_mean", "band_std", "upper", "lower", "is_anomaly"]
+    return long.select(*kept).unionByName(short.select(*kept))
 
 
 def zscore(df: DataFrame, by: Sequence[str], limit: float = 2.5) -> DataFrame:

@@ -79,16 +79,46 @@ def dbscan_core(t):
     return rows.join(sites, ["scope", *SCALED]).select("ts", F.col("core").alias("is_core"))
 
 
-@query("dbscan")
+def _clusters_sql(eps: float) -> str:
+    """Expressions ending in ``cl`` (ts, cluster, is_core): labels spread over core pairs until nothing is left to spread."""
+    near = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in SCALED)
+    return f"""{SCALED_SQL},
+pr AS (SELECT a.ts AS a, b.ts AS b FROM sc a JOIN sc b ON {near} <= {eps} * {eps}),
+co AS (SELECT a AS ts FROM pr GROUP BY 1 HAVING count(*) >= 5),
+ed AS (SELECT a, b FROM pr SEMI JOIN co ON co.ts = pr.a),
+ce AS (SELECT a, b FROM ed SEMI JOIN co ON co.ts = ed.b),
+lb AS (SELECT 0 AS turn, ts, ts AS label FROM co
+  UNION ALL SELECT any_value(turn) + 1, ce.b, min(label) FROM lb JOIN ce ON ce.a = lb.ts WHERE turn < 60 GROUP BY ce.b),
+fi AS (SELECT ts, dense_rank() OVER (ORDER BY label) - 1 AS cluster FROM lb WHERE turn = 60),
+cl AS (SELECT sc.ts, coalesce(any_value(own.cluster), min(other.cluster), -1)::BIGINT AS cluster, any_value(own.cluster) IS NOT NULL AS is_core
+  FROM sc LEFT JOIN fi own ON own.ts = sc.ts LEFT JOIN ed ON ed.b = sc.ts LEFT JOIN fi other ON other.ts = ed.a GROUP BY sc.ts)"""
+
+
+@query(
+    "dbscan",
+    f"WITH RECURSIVE {_clusters_sql(1.5)} SELECT ts, " + ", ".join(f'"{k}"' for k in KINDS) + ", cluster, is_core FROM cl JOIN wide_hours USING (ts)",
+    uses="wide_hours",
+    doubles=" ".join(KINDS),
+)
 def dbscan(t):
     return density.dbscan(scaled(t), ["scope"], "ts", SCALED, 1.5, 5).select("ts", *KINDS, "cluster", "is_core")
 
 
-@query("dbscan_sizes")
+@query("dbscan_sizes", f"WITH RECURSIVE {_clusters_sql(0.8)} SELECT cluster, count(*) AS n FROM cl GROUP BY 1", uses="wide_hours")
 def dbscan_sizes(t):
     return density.cluster_sizes(density.dbscan(scaled(t), ["scope"], "ts", SCALED, 0.8, 5))
 
 
+@query(
+    "cluster_count",
+    f"WITH RECURSIVE {_clusters_sql(0.8)} SELECT count(DISTINCT cluster) FILTER (cluster >= 0) AS clusters, "
+    "count(*) FILTER (cluster < 0) AS noise FROM cl",
+    uses="wide_hours",
+)
+def cluster_count(t):
+    return density.cluster_count(density.dbscan(scaled(t), ["scope"], "ts", SCALED, 0.8, 5))
+
+
 def batch_ticks(t):
     """Complete four-hour ticks; the one still open at the last event is left out, as on the stream."""
     out = ticks(t.gauge(), KINDS, "4 hours", metric="series")

@@ -160,6 +160,26 @@ def dynamic_band(t):
     return out.select("series", "event_id", "value", "upper", "lower", "is_anomaly")
 
 
+@query(
+    "adaptive_band",
+    """WITH s AS (SELECT event_type || '/' || (user_id % 40)::VARCHAR AS series, ts, event_id, value FROM events),
+    n AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY ts, event_id) AS rn,
+      least(20, count(*) OVER (PARTITION BY series) // 4) AS width FROM s),
+    f AS (SELECT a.event_id, avg(b.value) AS m, stddev_samp(b.value) AS d FROM n a JOIN n b ON a.series IS NOT DISTINCT FROM b.series
+      AND b.rn BETWEEN a.rn - (a.width - 1 - (a.width - 1) // 2) AND a.rn + (a.width - 1) // 2
+      WHERE a.width > 1 GROUP BY a.event_id, a.width HAVING count(b.value) = a.width)
+    SELECT series, event_id, value, width, m + 2 * d AS upper, m - 2 * d AS lower,
+      coalesce(value > m + 2 * d OR value < m - 2 * d, false) AS is_anomaly FROM n LEFT JOIN f USING (event_id)""",
+    doubles="value upper lower",
+)
+def adaptive_band(t):
+    """Short series, one per event type and group of users: the band's width follows from their length."""
+    series = F.concat("event_type", F.lit("/"), (F.col("user_id") % 40).cast("string"))
+    rows = t.table("events").select(series.alias("series"), "ts", "event_id", "value")
+    out = rolling.adaptive_band(rows, ["series"], ["ts", "event_id"])
+    return out.select("series", "event_id", "value", "width", "upper", "lower", "is_anomaly")
+
+
 Z = """z AS (SELECT series, event_id, ts, value, m AS mean, s AS std, (value - m) / nullif(s, 0) AS z_score FROM gauge
   JOIN (SELECT series, avg(value) AS m, stddev_samp(value) AS s FROM gauge GROUP BY 1) USING (series))"""
 
