@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.layout import attach
 from tidewatch.session import settle
 
 
@@ -13,13 +12,14 @@ def _contract(edges: DataFrame, large: bool) -> DataFrame:
     """Hang the neighbours of every node on its smallest one.
 
     ``edges`` has ``a > b``. The large step moves the greater neighbours, the
-    small step the lesser ones. Rows of a node with many edges are spread by salt.
+    small step the lesser ones.
     """
     ways = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         ways = ways.unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     least = ways.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    moved = attach(ways, least, ["u"])
+    # both sides lie by node already; adaptive execution sends a small one or splits a hot node
+    moved = ways.join(least, "u")
     if large:
         moved = moved.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

@@ -119,7 +119,8 @@ def _links(space: _Space, core: DataFrame, labelled: DataFrame) -> DataFrame:
     right = [(f"r{lo}", f"r{hi}") for lo, hi in left]
     least, most = space.bounds(left, right)
     pairs = one.join(two, [*scope, "key"]).filter(F.col("a") < F.col("b")).withColumns({"_least": least, "_most": most})
-    pairs = pairs.filter(F.col("_least") <= limit)
+    # the box join is the expensive part and is read twice
+    pairs = settle(pairs.filter(F.col("_least") <= limit).select(*scope, "a", "b", "ca", "cb", "_most"))
     found = pairs.filter(F.col("_most") <= limit).select("a", "b").distinct()
     open_ = pairs.filter(F.col("_most") > limit).select(*scope, "a", "b", "ca", "cb", F.col("ca").alias("pa"), F.col("cb").alias("pb"))
     open_ = settle(open_.join(found, ["a", "b"], "left_anti"))
@@ -134,6 +135,7 @@ def _links(space: _Space, core: DataFrame, labelled: DataFrame) -> DataFrame:
         )
         pairs = open_.join(mine, [*scope, "ca", "pa"]).join(theirs, [*scope, "cb", "pb"])
         pairs = pairs.withColumns({"_least": least, "_most": most}).filter(F.col("_least") <= limit)
+        pairs = settle(pairs.select(*scope, "a", "b", "ca", "cb", "na", "nb", "_most"))
         new = pairs.filter(F.col("_most") <= limit).select("a", "b").distinct()
         found = settle(found.unionByName(new).distinct())
         rest = pairs.filter(F.col("_most") > limit).select(
