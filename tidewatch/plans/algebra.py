@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from tidewatch.model import LATENCY_BOUNDS
 from tidewatch.operators import quantile, rolling, selectors, stats, vectors
 from tidewatch.operators import grid
 from tidewatch.plans.registry import query
-from tidewatch.plans.tables import DAY, GAUGE_BOUNDS, HOUR, KINDS, SQL_START
+from tidewatch.plans.tables import DAY, GAUGE_BOUNDS, HOUR, KINDS, SQL_END, SQL_START
 from tidewatch.sources import read, rollups
 
 BY = ["event_type", "shard"]
@@ -104,12 +104,12 @@ def range_read(t):
 @query(
     "instant_read",
     "SELECT event_type, shard, arg_max(value, ts) AS value, max(ts) AS ts FROM shard_counter "
-    "WHERE ts <= TIMESTAMP '2024-02-01' AND ts > TIMESTAMP '2024-02-01' - INTERVAL 40 DAY GROUP BY 1, 2",
+    f"WHERE ts <= {SQL_END} AND ts > {SQL_END} - INTERVAL 40 DAY GROUP BY 1, 2",
     uses="shard_counter",
     doubles="value",
 )
 def instant_read(t):
-    return read.instant_read(t.shard_counter(), "events_total", BY, datetime(2024, 2, 1), timedelta(days=40))
+    return read.instant_read(t.shard_counter(), "events_total", BY, t.end, timedelta(days=40))
 
 
 @query(
