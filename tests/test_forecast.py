@@ -99,3 +99,41 @@ def test_changepoints_of_a_short_series(series):
     frame = series({"a": [(i, i) for i in range(10)]})
     # history of 8 rows: 7 candidates, rows 1..7
     assert [r.ts.second for r in additive.changepoints(frame, ["series"]).orderBy("ts").collect()] == list(range(1, 8))
+
+
+@pytest.mark.parametrize("m,multiplicative", [(1, False), (24, False), (24, True)])
+def test_smoothing_does_not_depend_on_its_blocks(seasonal_series, m, multiplicative):
+    """200 steps in one block, and in five of 48 or a hundred of two."""
+    params = (["series"], 0.3, 0.1, 0.2, m, multiplicative)
+    wanted, cut = (
+        [r[1:] for r in smoothing.smooth_fixed(seasonal_series, *params, block_steps=steps).select("ts", "series", "fitted", "level", "trend").orderBy("series", "ts").collect()]
+        for steps in (1 << 14, 1)
+    )
+    assert len(cut) == 400 and [r[0] for r in cut] == [r[0] for r in wanted]
+    assert np.allclose([r[1:] for r in cut], [r[1:] for r in wanted], rtol=1e-9)
+    whole, parts = (smoothing.final_states(seasonal_series, *params, block_steps=steps).orderBy("series").collect() for steps in (1 << 14, 1))
+    for a, b in zip(whole, parts, strict=True):
+        assert a.n == b.n and a.last_ts == b.last_ts and np.allclose(a.season, b.season)
+        assert np.allclose([a.sse, a.residual_sum, a.level, a.trend], [b.sse, b.residual_sum, b.level, b.trend])
+
+
+@pytest.mark.parametrize("m,multiplicative", [(1, False), (12, False), (12, True)])
+def test_fit_does_not_depend_on_its_blocks(seasonal_series, m, multiplicative):
+    """The grids meet at their edges, where a value would otherwise be tried twice."""
+    fits = [
+        smoothing.fit_smoothing(seasonal_series, ["series"], m, multiplicative, coarse=(0.0, 0.45, 0.9), block_steps=steps).orderBy("series").collect()
+        for steps in (1 << 14, 1)
+    ]
+    for a, b in zip(*fits, strict=True):
+        assert (a.n, a.alpha, a.beta, a.gamma) == (b.n, b.alpha, b.beta, b.gamma) and 0 < a.alpha < 1
+        assert np.allclose([a.sse, a.level, a.trend, *a.season], [b.sse, b.level, b.trend, *b.season])
+
+
+def test_smoothing_of_absent_and_short_series(spark):
+    """A series without a number, one with gaps and equal times, one that is too short, and none at all."""
+    rows = [(None, 10 * i, float(i % 7)) for i in range(40)] + [(2**60 + 1, 10 * (i // 2), None if i == 5 else float(i)) for i in range(9)]
+    frame = spark.createDataFrame([*rows, (3, 0, 1.0)], "host bigint, s bigint, value double").select("host", F.timestamp_seconds("s").alias("ts"), "value")
+    got = smoothing.smooth_fixed(frame, ["host"], 0.5, 0.5, block_steps=4)
+    assert {r["host"]: r["count"] for r in got.groupBy("host").count().collect()} == {None: 40, 2**60 + 1: 8}
+    assert {r.host: r.n for r in smoothing.fit_smoothing(frame, ["host"], block_steps=4).collect()} == {None: 40, 2**60 + 1: 8}
+    assert smoothing.smooth_fixed(frame.limit(0), ["host"], 0.5, 0.5).isEmpty() and smoothing.fit_smoothing(frame.limit(0), ["host"]).isEmpty()

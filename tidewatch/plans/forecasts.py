@@ -216,6 +216,45 @@ r AS (SELECT series, CAST(-1 AS BIGINT) AS k, CAST(NULL AS TIMESTAMP) AS ts, CAS
       FROM r JOIN y ON y.series = r.series AND y.k = r.k + 1)))"""
 
 
+def fitted_sql(source: str, m: int) -> str:
+    """Recursive expressions ending in ``best``: the set of least squared error on the coarse, then on the fine grid."""
+    coarse = "[" + ", ".join(map(repr, smoothing.COARSE)) + "]"
+    step = (smoothing.COARSE[1] - smoothing.COARSE[0]) / 5
+    moves = "[" + ", ".join(repr(d * step) for d in (-2, -1, 0, 1, 2)) + "]"
+    near = lambda c: f"unnest(list_distinct(list_transform({moves}, lambda d: greatest(0.001, least(0.999, {c} + d)))))"
+    season = "s[1:p] || [g * (value - base) + (1 - g) * sv] || s[p + 2:{0}]".format(m) if m > 1 else "s"
+
+    def run(name: str, sets: str) -> str:
+        return f"""{name} USING KEY (series, a, b, g) AS (
+    SELECT series, a, b, g, CAST(-1 AS BIGINT) AS k, level, trend, s, CAST(0 AS DOUBLE) AS e, CAST(0 AS DOUBLE) AS d
+    FROM {sets} JOIN (SELECT series, level, trend, s FROM r WHERE k = -1) USING (series)
+  UNION
+  SELECT series, a, b, g, k, lv, b * (lv - level) + (1 - b) * trend, s2, e + miss * miss, d + miss FROM (
+    SELECT *, a * (value - sv) + (1 - a) * base AS lv, value - (base + sv) AS miss, {season} AS s2 FROM (
+      SELECT {name}.series, a, b, g, y.k, y.value, level, trend, s, e, d, y.k % {m} AS p, s[y.k % {m} + 1] AS sv, level + trend AS base
+      FROM {name} JOIN y ON y.series = {name}.series AND y.k = {name}.k + 1)))"""
+
+    least = lambda name: f"""SELECT f.* FROM {name} f JOIN (SELECT series, min({{'e': e, 'a': a, 'b': b, 'g': g}}) AS q FROM {name} GROUP BY 1) q
+    ON f.series = q.series AND f.a = q.q.a AND f.b = q.q.b AND f.g = q.q.g"""
+    gammas = coarse if m > 1 else "[0.0]"
+    return f"""{smoothing_sql(source, 0.0, 0.0, 0.0, m, where="n >= 20")},
+c0 AS (SELECT series, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(g AS DOUBLE) AS g FROM (SELECT DISTINCT series FROM y),
+  (SELECT unnest({coarse}) AS a), (SELECT unnest({coarse}) AS b), (SELECT unnest({gammas}) AS g)),
+{run("f0", "c0")},
+b0 AS ({least("f0")}),
+c1 AS (SELECT series, CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b, CAST(g AS DOUBLE) AS g FROM (
+  SELECT series, a, b, {near("g") + " AS g" if m > 1 else "g"} FROM (SELECT series, a, {near("b")} AS b, g FROM (SELECT series, {near("a")} AS a, b, g FROM b0)))),
+{run("f1", "c1")},
+best AS (SELECT *, sqrt(greatest((sse - residual_sum * residual_sum / n) / (n - 1), 0)) AS residual_std FROM (
+  SELECT series, last_ts, n, a AS alpha, b AS beta, g AS gamma, e AS sse, d AS residual_sum, level, trend, s AS season
+  FROM ({least("f1")}) JOIN (SELECT series, max(ts) AS last_ts, count(*) AS n FROM y GROUP BY 1) USING (series)))"""
+
+
+AHEAD = """SELECT series, last_ts + to_hours(CAST(h AS INT)) AS ts, CAST(h AS INT) AS h, yhat, yhat - 2 * residual_std AS yhat_lower,
+    yhat + 2 * residual_std AS yhat_upper FROM (SELECT *, level + h * trend + season[(n + h - 1) % {m} + 1] AS yhat
+    FROM best, (SELECT unnest(range(1, 61)) AS h))"""
+
+
 @query(
     "holt_fixed",
     f"WITH RECURSIVE {smoothing_sql('hourly_filled', 0.3, 0.1, 0.0, 1)} SELECT series, ts, fitted, level, trend FROM r WHERE k >= 0",
@@ -246,12 +285,23 @@ def hw_mult_fixed(t):
     return smoothing.smooth_fixed(t.hourly_filled(), S, 0.1, 0.01, 0.05, 24, True)
 
 
-@query("hw_fit")
+@query(
+    "hw_fit",
+    f"""WITH RECURSIVE {fitted_sql('hourly_filled', 24)} SELECT series, n, last_ts, alpha, beta, gamma, sse, residual_sum, level, trend,
+    n * ln(sse / n) + 2 * (4 + 24 + 1) AS aic, residual_std FROM best""",
+    uses="hourly_filled",
+    doubles="alpha beta gamma sse residual_sum level trend aic residual_std",
+)
 def hw_fit(t):
     return smoothing.fit_smoothing(t.hourly_filled(), S, 24).drop("season")
 
 
-@query("hw_forecast")
+@query(
+    "hw_forecast",
+    f"WITH RECURSIVE {fitted_sql('hourly_filled', 24)} {AHEAD.format(m=24)}",
+    uses="hourly_filled",
+    doubles="yhat yhat_lower yhat_upper",
+)
 def hw_forecast(t):
     return smoothing.forecast(smoothing.fit_smoothing(t.hourly_filled(), S, 24), S, 60, HOUR, 24)
 
@@ -411,7 +461,12 @@ def capacity_report(t):
     return capacity.report_lines(_capacity(t)).select("name", "status", "headline", "growth", "critical_in")
 
 
-@query("capacity_forecast")
+@query(
+    "capacity_forecast",
+    f"WITH RECURSIVE {fitted_sql('hourly_filled', 1)} {AHEAD.format(m=1)}",
+    uses="hourly_filled",
+    doubles="yhat yhat_lower yhat_upper",
+)
 def capacity_forecast(t):
     minutes = regularize(t.hourly(), S, timedelta(minutes=60)).drop("k")
     return smoothing.forecast(smoothing.fit_smoothing(minutes, S, 1, minimum=20), S, 60, HOUR)
