@@ -172,3 +172,15 @@ def test_stages_take_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").withColumn("tag", F.lit("mine"))
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, "/root/testdata/sf0.001").count() > 0
+
+
+def test_rows_without_an_id_are_ranked_apart(spark):
+    """All rows of one size and no id: they spread over the bins, the sum is met and reruns take the same rows."""
+    docs = spark.createDataFrame([(None, "a", 3, f"t{i}") for i in range(2000)] + [(1, "b", 3, f"u{i}") for i in range(6000)], "doc_id bigint, source string, size bigint, text string")
+    first = mixing.mix(docs, share=0.5)
+    taken = {r.source: (r.words, r.target) for r in first.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("words"), F.first("target").alias("target")).collect()}
+    assert all(abs(words - target) < 3 for words, target in taken.values())
+    keep = lambda df: sorted((r.text, r.copies) for r in df.select("text", "copies").collect())
+    assert keep(first) == keep(mixing.mix(docs.repartition(7, "text"), share=0.5))
+    ranked = [p for p in first._jdf.queryExecution().optimizedPlan().toString().split("\n") if "xxhash64(8, " in p]
+    assert ranked and all("text" in p for p in ranked)

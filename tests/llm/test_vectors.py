@@ -116,6 +116,42 @@ def test_search_recall_and_order(cloud, monkeypatch):
     assert hit >= 0.9 * total
 
 
+def test_slices_and_partitions_follow_the_count(cloud, monkeypatch):
+    """Twice the partitions, blocks and slices of seven rows: the same neighbours, at most a copy per slice of a row's own partition."""
+    frame, rows = cloud
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    monkeypatch.setattr(ann, "PART_ROWS", 30)
+    assert [ann.partitions(n) for n in (0, 480, 481, 961, 10**9)] == [16, 16, 32, 64, 256]
+    copies = {}
+    ranked = ann._ranked
+
+    def counted(queries, index, k):
+        copies["most"] = index.groupBy("id").count().agg({"count": "max"}).first()[0]
+        copies["slices"] = queries.groupBy("cell").agg({"slice": "max"}).agg({"max(slice)": "max"}).first()[0] + 1
+        return ranked(queries, index, k)
+
+    monkeypatch.setattr(ann, "_ranked", counted)
+    got = {}
+    for r in ann.search(frame, every=10).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.score, r.vec_id))
+    good = dict(sound(rows))
+    hit = 0
+    for q, found in got.items():
+        true = sorted((float(np.sqrt(((v - good[q]) ** 2).sum())), i) for i, v in good.items() if i != q)[:10]
+        assert sorted(found) == [(n, s, i) for n, (s, i) in enumerate(sorted((s, i) for _, s, i in found), 1)] and len(found) == 10
+        hit += len({i for _, i in true} & {i for *_, i in found})
+    assert len(got) == 74 and hit >= 0.9 * 740
+    assert 1 < copies["most"] <= copies["slices"]
+
+
+def test_rows_of_one_id_are_the_smallest_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.0]), (3, [0.0, 1.0]), (3, [5.0, 5.0]), (4, [0.0, 2.0]), (4, [0.0, 2.0]), (5, None), (5, [9.0, 9.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = [(r["rank"], r.vec_id, round(r.score, 6)) for r in ann.search(frame).orderBy("rank").collect()]
+    assert got == [(1, 3, round(1.25**0.5, 6)), (2, 4, round(4.25**0.5, 6)), (3, 5, round((8.5**2 + 81) ** 0.5, 6))]
+    assert ann.search(frame.filter("vec_id > 0")).isEmpty()
+
+
 def test_few_and_no_vectors(spark):
     none = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert ann.search(none).count() == neighbours.near_duplicates(none).count() == 0

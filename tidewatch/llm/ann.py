@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.llm import vectors
+from tidewatch.session import settle
 
 SAMPLE = 4096
 PARTITIONS = 16
+PART_ROWS = 1 << 16
+MOST_PARTITIONS = 256
+SAMPLE_A_PART = 256
 GRAPH_K = 12
 BLOCK = 4096
 AUDIT = 96
@@ -125,7 +129,7 @@ class Router:
 
 
 def train(rows: DataFrame, parts: int = PARTITIONS, size: int = SAMPLE, seed: int = 10) -> Router | None:
-    """A router from ``size`` rows at most; None if there is nothing to index."""
+    """A router of ``parts`` partitions from ``size`` rows at most; None if there is nothing to index."""
     _, x = vectors.sample(rows, size, seed)
     if not len(x):
         return None
@@ -188,37 +192,66 @@ def _ranked(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     keys = ["cell", "block", "slice"]
     found = queries.groupBy(*keys).cogroup(rows.groupBy(*keys)).applyInPandas(compare, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
 def search(table: DataFrame, every: int = 100, k: int = 10, recall: float = RECALL, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest rows found for each query.
 
-    Queries are the rows whose id is divisible by ``every``. A partition is cut
-    into blocks of ``BLOCK`` rows and its queries into slices as large, so a
-    partition that holds a third of all rows is many tasks. The number of probes
+    Queries are the rows whose id is divisible by ``every``. There are ``PARTITIONS``
+    partitions, and beyond ``PART_ROWS`` rows in each twice as many, up to
+    ``MOST_PARTITIONS``; the sample grows with them. A partition is cut into blocks of
+    ``BLOCK`` rows and the queries that go to it into slices as large, so a partition
+    that holds a third of all rows is many tasks, and a row is copied once per slice
+    of its own partition's queries. The number of probes
     is the least that finds ``recall`` of the true neighbours of ``AUDIT`` other
     rows, which are compared with all rows. Ties go to the smaller id; rows
-    that are no vectors take no part; an empty table gives no rows.
+    that are no vectors take no part; rows that share an id are one row, the one with the
+    smallest vector; an empty table gives no rows.
     """
     spark = table.sparkSession
-    rows = vectors.valid(table, key, vector)
-    router = train(rows)
+    none = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    rows, total = _one_of_each(vectors.valid(table, key, vector))
+    parts = partitions(total)
+    router = train(rows, parts, max(SAMPLE, parts * SAMPLE_A_PART if parts > PARTITIONS else 0))
     if router is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+        return none
     probes = audit(rows, router, k, recall)
     placed = _routed(rows, router, 1).withColumn("cell", F.col("parts")[0]).drop("parts")
     counts = {r["cell"]: r["n"] for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     filled = np.array([counts.get(c, 0) for c in range(len(router.b2))])
-    asked = _routed(rows.filter(F.col("id") % every == 0), router, probes, filled, k + 1).dropDuplicates(["id"])
-    slices = max(1, -(-asked.count() // BLOCK))
-    blocks = F.element_at(F.create_map(*[F.lit(x) for c, n in counts.items() for x in (c, -(-n // BLOCK))]), F.col("cell"))
-    index = placed.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    sent = asked.withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(slices)).cast("int")).withColumn("cell", F.explode("parts")).drop("parts")
-    sent = sent.filter(F.col("cell").isin(*counts)).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    asked = _routed(rows.filter(F.col("id") % every == 0), router, probes, filled, k + 1)
+    sent = asked.withColumn("cell", F.explode("parts")).drop("parts").filter(F.col("cell").isin(*counts))
+    load = {r["cell"]: r["n"] for r in sent.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    if not load:
+        return none
+    pieces = lambda held: F.element_at(F.create_map(*[F.lit(x) for c in load for x in (c, -(-held[c] // BLOCK))]), F.col("cell"))
+    blocks, slices = pieces(counts), pieces(load)
+    index = placed.filter(F.col("cell").isin(*load)).withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    index = index.withColumn("slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    sent = sent.withColumn("slice", F.pmod(F.xxhash64("id"), slices).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
     return _ranked(sent, index, k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
+def partitions(total: int) -> int:
+    """Number of partitions for ``total`` rows, a power of two."""
+    parts = PARTITIONS
+    while parts < MOST_PARTITIONS and total > parts * PART_ROWS:
+        parts *= 2
+    return parts
+
+
+def _one_of_each(rows: DataFrame) -> tuple[DataFrame, int]:
+    """``rows`` with the smallest vector of each id, and their number.
+
+    Only ids are counted; vectors move only where an id repeats.
+    """
+    ids = settle(rows.groupBy("id").agg(F.count("*").alias("_n")))
+    again = settle(ids.filter(F.col("_n") > 1).select("id"))
+    least = rows.join(again, "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
+    return rows.join(again, "id", "left_anti").unionByName(least), ids.count()
+
+
 def audit(rows: DataFrame, router: Router, k: int, recall: float, size: int = AUDIT, seed: int = 11) -> int:
     """The least number of probes with which the audited rows reach ``recall``."""
     ids, x = vectors.sample(rows, size, seed)

@@ -8,8 +8,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.tables import word_count
+from tidewatch.session import settle
 
 WEIGHTS = (5.0, 2.0, 1.0)
 GROUP_ROWS = 256
@@ -90,8 +92,10 @@ def mix(
 
     Sources by code point, null last, get the weights in turn. Documents of a
     source are counted by exact size; ``fit`` says how many of each size are
-    taken once more than the whole passes, and a seeded hash of the key says
-    which. Sizes of zero and ties are settled by that hash and the key. A size
+    taken once more than the whole passes, and a seeded hash of the whole row
+    (columns of maps left out) says which, so rows without an id or of one id are
+    told apart by the rest; rows equal in all of it are interchangeable. Sizes of
+    zero and ties are settled by that hash, the key and a second hash. A size
     that many documents share is first cut by hash into groups of some
     hundreds, so no task ranks a whole size. What the driver sees is one row per
     source. Sizes must not be null; columns with the names of the new ones are replaced.
@@ -125,7 +129,8 @@ def mix(
     )
     schema = "_group bigint, _size bigint, _n bigint, source_size bigint, target double, _passes bigint, _extra bigint"
     chosen = grouped.groupBy("_group").applyInPandas(plan, schema)
-    rank = F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 40))
+    row = [key, *[f.name for f in docs.schema if f.name != key and not isinstance(f.dataType, T.MapType)]]
+    rank = F.pmod(F.xxhash64(F.lit(seed), *row), F.lit(1 << 40))
     bins = F.ceil(F.col("_n") / GROUP_ROWS)
     placed = (
         docs.withColumn("_group", group).withColumn("_size", F.col(size)).withColumn("_rank", rank)
@@ -138,14 +143,17 @@ def mix(
     cuts = placed.groupBy("_group", "_size", "_bin").agg(F.count("*").alias("_here"))
     before = F.sum("_here").over(by_size.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
     cuts = cuts.select("_group", "_size", "_bin", F.coalesce(before, F.lit(0)).alias("_before"))
-    order = F.row_number().over(Window.partitionBy("_group", "_size", "_bin").orderBy("_rank", key))
+    order = F.row_number().over(Window.partitionBy("_group", "_size", "_bin").orderBy("_rank", key, F.xxhash64(F.lit(seed + 1), *row)))
     took = placed.withColumn("_order", order).join(cuts, ["_group", "_size", "_bin"])
     copies = F.col("_passes") + (F.col("_before") + F.col("_order") <= F.col("_extra")).cast("bigint")
     return took.withColumn("copies", copies).select(*docs.columns, "source_size", "target", "copies")
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """The mix of ``documents`` by words: ``doc_id, size, source_size, target, taken``."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
-    mixed = mix(sized)
+    """The mix of ``documents`` by words: ``doc_id, size, source_size, target, taken``.
+
+    Words are counted once; the sizes are written, as the mix reads them four times.
+    """
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
+    mixed = mix(settle(sized))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
