@@ -34,6 +34,42 @@ def test_text(spark, tmp_path):
     assert got["temp", None].value is None and got["cold", None].value == float("-inf") and got["up", None].type is None
 
 
+def test_text_line_by_line(spark):
+    """Escapes, a brace inside a label, exemplars, long lines; what is no sample is rejected whole."""
+    good = {
+        r'a{x="1\\n",y="}\" 2",} 1': ("a", {"x": "1\\n", "y": '}" 2'}, 1.0),
+        r'a{x="\\\n"} 2 # {t="}"} 0.5': ("a", {"x": "\\\n"}, 2.0),
+        "a { x = \"1\" , y=\"\" }+Inf 12": ("a", {"x": "1", "y": ""}, float("inf")),
+        "a{} 3": ("a", {}, 3.0),
+        'long{x="' + "ab\\\\" * 20000 + '"} 4': ("long", {"x": "ab\\" * 20000}, 4.0),
+        "b\tNaN": ("b", {}, None),
+    }
+    bad = ["a", "1a 2", "a 1 2 3", 'a{x="1"', 'a{x="1"y="2"} 1', 'a{x="1",x="2"} 1', "a{x=1} 1", "a one", "a{x=\"1\"}", "a1"]
+    rows = [(i, text) for i, text in enumerate([*good, *bad, "", "# a comment", "  ", None])]
+    lines = spark.createDataFrame(rows, "metric int, value string").withColumnRenamed("metric", "id")
+    got = {r.id: (r.metric, r.labels, r.value) for r in ingest.parse_text(lines).collect()}
+    assert got == dict(enumerate(good.values()))
+    assert sorted(r.value for r in ingest.rejected(lines).collect()) == sorted(bad)
+    assert ingest.rejected(lines.limit(0)).isEmpty() and ingest.typed_samples(lines.limit(0)).isEmpty()
+
+
+def test_families_by_full_name_and_target(spark):
+    """A gauge and a counter whose names differ by a suffix, and another type of one name on another target."""
+    text = [
+        ("a", "# TYPE go_memory gauge"), ("a", "# TYPE go_memory_total counter"), ("a", "go_memory 1"), ("a", "go_memory_total 2"),
+        ("a", "# TYPE wait summary"), ("a", "wait_sum 3"), ("a", "wait_bucket 4"), ("a", "# TYPE hits counter"), ("a", "hits_total 5"),
+        ("b", "# TYPE go_memory untyped"), ("b", 'go_memory{instance="own"} 1'), ("b", "wait_sum 3"), (None, "go_memory 1"),
+    ]
+    rows = ingest.typed_samples(spark.createDataFrame(text, "instance string, value string"), target=["instance"]).collect()
+    got = {(r.instance, r.metric): r for r in rows}
+    assert {k: r.type for k, r in got.items()} == {
+        ("a", "go_memory"): "gauge", ("a", "go_memory_total"): "counter", ("a", "wait_sum"): "summary", ("a", "wait_bucket"): None,
+        ("a", "hits_total"): "counter", ("b", "go_memory"): "untyped", ("b", "wait_sum"): None, (None, "go_memory"): None,
+    }
+    assert got["b", "go_memory"].labels == {"exported_instance": "own", "instance": "b"} and got[None, "go_memory"].labels == {}
+    assert len({r.series_id for r in rows}) == len(rows)
+
+
 def test_responses(spark):
     docs = [
         ('{"status":"success","data":{"resultType":"vector","result":[{"metric":{"__name__":"up","job":"a"},"value":[1700000000.5,"1"]}]}}',),

@@ -107,6 +107,54 @@ def ingest_text(t):
     )
 
 
+def _scrapes(t):
+    """The events as two targets expose them: a gauge, its ``_total`` counter and, of every seventh event, a broken line."""
+    target = F.concat(F.lit("host-"), (F.col("user_id") % 2).cast("string"))
+    text = F.col("value").cast("string")
+    labels = F.format_string('{event_type="%s",path="c:\\\\%d\\"\\n",instance="own"}', "event_type", "user_id")
+    stamp = F.floor(F.unix_micros("ts") / 1000).cast("string")
+    samples = t.table("events").select(
+        target.alias("instance"),
+        F.explode(F.array_compact(F.array(
+            F.concat(F.lit("load"), labels, F.lit(" "), text, F.lit(" "), stamp),
+            F.concat(F.lit("load_total"), labels, F.lit(" "), text, F.lit(" "), stamp, F.lit(' # {trace="x}"} 1')),
+            F.when(F.col("event_id") % 7 == 0, F.concat(F.lit('load{event_type="'), F.col("event_type"), F.lit('"x} 1'))),
+        ))).alias("line"),
+    )
+    heads = t.table("events").select(target.alias("instance")).distinct().select(
+        "instance",
+        F.explode(F.array(F.when(F.col("instance") == "host-0", "# TYPE load gauge").otherwise("# TYPE load untyped"), F.lit("# TYPE load_total counter"))).alias("line"),
+    )
+    return heads.unionByName(samples)
+
+
+@query(
+    "ingest_targets",
+    """SELECT 'host-' || (user_id % 2) AS instance, metric, CASE WHEN metric = 'load_total' THEN 'counter' WHEN user_id % 2 = 0 THEN 'gauge'
+      ELSE 'untyped' END AS type, event_type, 'c:' || chr(92) || user_id || '"' || chr(10) AS path, 'own' AS exported_instance, count(*) AS n, sum(value) AS total,
+      max(epoch_us(ts) // 1000) AS last_ms
+    FROM events, (SELECT unnest(['load', 'load_total']) AS metric) GROUP BY ALL""",
+    doubles="total",
+)
+def ingest_targets(t):
+    """Metric text of two targets: types per target and full name, escapes, labels of the target."""
+    rows = ingest.typed_samples(_scrapes(t), "line", ["instance"])
+    label = lambda name: F.col("labels")[name].alias(name)
+    return rows.select(label("instance"), "metric", "type", label("event_type"), label("path"), label("exported_instance"), "value", "ts_ms").groupBy(
+        "instance", "metric", "type", "event_type", "path", "exported_instance"
+    ).agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.max("ts_ms").alias("last_ms"))
+
+
+@query(
+    "ingest_rejected",
+    """SELECT 'host-' || (user_id % 2) AS instance, 'load{event_type="' || event_type || '"x} 1' AS line, count(*) AS n
+    FROM events WHERE event_id % 7 = 0 GROUP BY ALL""",
+)
+def ingest_rejected(t):
+    """Lines of two targets that are no metric text."""
+    return ingest.rejected(_scrapes(t), "line").groupBy("instance", "line").agg(F.count("*").alias("n"))
+
+
 @query(
     "ingest_json",
     "SELECT event_id, 'event_value' AS metric, event_type, ts, value FROM events UNION ALL "

@@ -6,17 +6,29 @@ it serves batch (``spark.read.text``) and streams (``readStream.text``) alike.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.layout import attach
 from tidewatch.model import series_id
 
-# The line formats of the text exposition.
-SAMPLE_LINE = r"^([a-zA-Z_:][a-zA-Z0-9_:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+(-?\d+))?\s*$"
+# The line formats of the text exposition. Possessive, so that a line
+# is read once from left to right however long it is.
+NAME = r"[a-zA-Z_][a-zA-Z0-9_]*+"
+QUOTED = r'"(?:[^"\\]++|\\.)*+"'
+LABELS = rf"\{{((?:\s*+{NAME}\s*+=\s*+{QUOTED}\s*+(?:,|(?=\}})))*+\s*+)\}}"
+SAMPLE_LINE = rf"^([a-zA-Z_:][a-zA-Z0-9_:]*+)\s*+(?:{LABELS})?+\s*+(?<=[\s}}])([^\s#]++)(?:\s++(-?\d++))?+\s*+(?:#.*+)?+$"
 TYPE_LINE = r"^#\s+TYPE\s+(\S+)\s+(\S+)\s*$"
-LABEL_PAIR = r'([a-zA-Z_][a-zA-Z0-9_]*)="((?:[^"\\]|\\.)*)"'
-FAMILY_SUFFIX = r"_(bucket|count|sum|total|info)$"
+LABEL_PAIR = rf'({NAME})\s*+=\s*+"((?:[^"\\]++|\\.)*+)"'
+# Suffix of a sample's name and the types of the families that have such samples.
+SUFFIX_TYPES = {
+    "_bucket": ("histogram",), "_count": ("histogram", "summary"), "_sum": ("histogram", "summary"), "_total": ("counter",),
+    "_info": ("info",),
+}
+FAMILY_SUFFIX = f"({'|'.join(SUFFIX_TYPES)})$"
 
 RESPONSE = (
     "status string, data struct<resultType: string, "
@@ -36,56 +48,81 @@ def _number(text: Column) -> Column:
     )
 
 
-def _labels(text: Column) -> Column:
-    pairs = F.lit(LABEL_PAIR)
-    names = F.regexp_extract_all(text, pairs, F.lit(1))
-    raw = F.regexp_extract_all(text, pairs, F.lit(2))
-    values = F.transform(
-        raw,
-        lambda v: F.replace(
-            F.replace(F.replace(F.replace(v, F.lit("\\\\"), F.lit("\x00")), F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n")),
-            F.lit("\x00"),
-            F.lit("\\"),
-        ),
+def _unescaped(text: Column) -> Column:
+    """Label value with its escapes resolved; a doubled backslash parts the text, so none is read twice."""
+    plain = F.transform(
+        F.split(text, r"\\\\"), lambda v: F.replace(F.replace(v, F.lit('\\"'), F.lit('"')), F.lit("\\n"), F.lit("\n"))
     )
-    return F.map_from_arrays(names, values)
+    return F.array_join(plain, "\\")
+
+
+def _scanned(lines: DataFrame, line: str) -> DataFrame:
+    """``lines`` with ``_text``, whether it is a sample (``_ok``), its label names, label values and number.
+
+    A line is a sample if all of it is one: no label twice, and a number for a value.
+    """
+    part = lambda i: F.regexp_extract("_text", SAMPLE_LINE, i)
+    pairs = lambda i: F.regexp_extract_all(part(2), F.lit(LABEL_PAIR), F.lit(i))
+    rows = lines.withColumn("_text", F.trim(F.col(line)))
+    rows = rows.withColumns({"_names": pairs(1), "_raw": pairs(2), "_number": part(3)})
+    value = _number(F.col("_number"))
+    once = F.size(F.array_distinct("_names")) == F.size("_names")
+    proper = F.col("_text").rlike(SAMPLE_LINE) & once & (value.isNotNull() | (F.lower(F.regexp_replace("_number", r"^[+-]", "")) == "nan"))
+    return rows.withColumns({"_ok": F.coalesce(proper, F.lit(False)), "_value": value})
 
 
 def parse_text(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Sample lines as rows ``metric, labels, value, ts_ms``; comment lines are left out.
+    """Sample lines as rows ``metric, labels, value, ts_ms``; comments and ``rejected`` lines are left out.
 
-    Other columns of ``lines`` (target, scrape time, file) are kept.
+    Other columns of ``lines`` (target, scrape time, file) are kept, those named as the new ones excepted.
     """
-    text = F.trim(F.col(line))
-    keep = [c for c in lines.columns if c != line]
-    found = lines.filter(text.rlike(SAMPLE_LINE) & ~text.startswith("#"))
-    part = lambda i: F.regexp_extract(text, SAMPLE_LINE, i)
-    return found.select(
+    made = ("metric", "labels", "value", "ts_ms")
+    keep = [c for c in lines.columns if c != line and c not in made]
+    labels = F.map_from_arrays(F.when(F.col("_ok"), F.col("_names")), F.transform("_raw", _unescaped))
+    return _scanned(lines, line).filter("_ok").select(
         *keep,
-        part(1).alias("metric"),
-        _labels(part(2)).alias("labels"),
-        _number(part(3)).alias("value"),
-        part(4).try_cast("bigint").alias("ts_ms"),
+        F.regexp_extract("_text", SAMPLE_LINE, 1).alias("metric"),
+        labels.alias("labels"),
+        F.col("_value").alias("value"),
+        F.regexp_extract("_text", SAMPLE_LINE, 4).try_cast("bigint").alias("ts_ms"),
     )
 
 
-def parse_types(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Declared type per metric family, one row each."""
+def rejected(lines: DataFrame, line: str = "value") -> DataFrame:
+    """Lines as they came that are neither samples nor comments nor empty."""
+    found = _scanned(lines, line).filter(~F.col("_ok") & (F.col("_text") != "") & ~F.startswith("_text", F.lit("#")))
+    return found.select(*lines.columns)
+
+
+def parse_types(lines: DataFrame, line: str = "value", target: Sequence[str] = ()) -> DataFrame:
+    """Declared type per target and metric family, one row each."""
     text = F.trim(F.col(line))
     part = lambda i: F.regexp_extract(text, TYPE_LINE, i)
-    return lines.filter(text.rlike(TYPE_LINE)).select(part(1).alias("family"), part(2).alias("type")).distinct()
+    return lines.filter(text.rlike(TYPE_LINE)).select(*target, part(1).alias("family"), part(2).alias("type")).distinct()
+
 
+def typed_samples(lines: DataFrame, line: str = "value", target: Sequence[str] = ()) -> DataFrame:
+    """Samples with declared type, ``le`` bound and series identity.
 
-def typed_samples(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Samples with declared type, ``le`` bound and series identity."""
+    ``target`` names the columns that tell scraped targets apart, such as job and
+    instance. They become labels; a label of the same name that the target exposes
+    is kept with ``exported_`` before it. Types hold for the target that declares
+    them. A sample belongs to the family of its full name, or else to the one
+    without its suffix if that family's type has samples with it. The declared
+    types are written when this is called.
+    """
     rows = parse_text(lines, line)
-    types = parse_types(lines, line).groupBy("family").agg(F.max("type").alias("type"))
-    # a family is declared under its own name or under the name without the suffix
-    names = types.select(F.regexp_replace("family", FAMILY_SUFFIX, "").alias("family"), "type").groupBy("family").agg(
-        F.max("type").alias("type")
-    )
+    types = parse_types(lines, line, target).groupBy(*target, "family").agg(F.max("type").alias("type"))
+    rows = attach(rows.withColumn("family", F.col("metric")), types.withColumnRenamed("type", "_own"), [*target, "family"], "left")
     rows = rows.withColumn("family", F.regexp_replace("metric", FAMILY_SUFFIX, ""))
-    out = attach(rows, names, ["family"], how="left").drop("family")
+    rows = attach(rows, types.withColumnRenamed("type", "_base"), [*target, "family"], "left")
+    fits = [F.endswith("metric", F.lit(end)) & F.col("_base").isin(*kinds) for end, kinds in SUFFIX_TYPES.items()]
+    kind = F.coalesce(F.col("_own"), F.when(reduce(Column.__or__, fits), F.col("_base")))
+    if target:
+        exposed = F.transform_keys("labels", lambda k, _: F.when(k.isin(*target), F.concat(F.lit("exported_"), k)).otherwise(k))
+        own = F.create_map(*[c for t in target for c in (F.lit(t), F.col(t).cast("string"))])
+        rows = rows.withColumn("labels", F.map_concat(exposed, F.map_filter(own, lambda _, v: v.isNotNull())))
+    out = rows.withColumn("type", kind).drop("family", "_own", "_base")
     return out.withColumns({"le": _number(F.col("labels")["le"]), "series_id": series_id()})
 
 
