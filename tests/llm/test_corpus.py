@@ -68,6 +68,16 @@ def test_odd_ids_and_empty_table(spark, nothing):
     assert got == [(-1, 47, 5), (5, 1, 5), (5, 47, 5), (5, 47, 5), (6, 47, 5)]
 
 
+def test_long_words_of_equal_sums(spark):
+    """Thue-Morse words and their complements: different, though sums of powers modulo 2**64 are equal."""
+    one = "a"
+    while len(one) < 2048:
+        one += one.translate(str.maketrans("ab", "ba"))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, f"{one} b c d e"), (4, f"{other} b c d e"), (5, f"{one} " * 9), (6, f"{one} {other} " * 9), (7, one.upper())]
+    assert components_of(spark.createDataFrame(rows, "doc_id bigint, text string")) == brute_links(rows)
+
+
 def test_targets_are_filled_by_weight():
     assert mixing.fill([100, 100, 100], [5, 2, 1], 150, 2) == pytest.approx([93.75, 37.5, 18.75])
     assert mixing.fill([10, 100, 100], [5, 2, 1], 315, 2) == pytest.approx([20, 295 * 2 / 3, 295 / 3])
