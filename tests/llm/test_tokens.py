@@ -72,6 +72,40 @@ def test_shards_equal_the_library(spark, odd, tmp_path):
         start += len(ids)
 
 
+def test_long_slices_of_equal_sums():
+    """Thue-Morse words and their complements have equal sums of powers modulo 2**64, but other ids."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    words = [word, word.translate(str.maketrans("ab", "ba"))]
+    cache, library = repair.library_cache(vocabulary(TOKENIZER))
+    data, offsets = np.frombuffer("".join(words).encode(), np.uint8), np.array([0, 2048, 4096])
+    got = [ids.tolist() for ids in repair.encode_batch(cache, library, [], data, offsets)]
+    assert got == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_joined_slices_equal_the_library_one_by_one():
+    words = [" a", "\n", "'s", "'", " '", "''", " ", "\u00a0", "\n\n", " \u00fcber", "\u4e2d\u6587", " 12", "\u0663", "!?", "\x1c", "\u0085", " \x1c!", "x" * 700, "\u3000"]
+    cache, library = repair.library_cache(vocabulary(TOKENIZER))
+    ids, first, counts = cache.merge([w.encode() for w in words])
+    for word, a, n in zip(words, first.tolist(), counts.tolist()):
+        assert ids[a : a + n].tolist() == library.encode(word, add_special_tokens=False).ids
+    calls = cache.merge([w.encode() for w in words * 100])
+    assert [calls[0][a : a + n].tolist() for a, n in zip(*calls[1:])] == [ids[a : a + n].tolist() for a, n in zip(first, counts)] * 100
+
+
+def test_cache_finds_slices_that_probe_on_and_begins_anew(monkeypatch):
+    """All hashes fall into one home slot and its neighbours; the table grows and is cleared."""
+    plain = bpe.textscan.word_hashes
+    monkeypatch.setattr(bpe.textscan, "word_hashes", lambda *x: plain(*x) % np.uint64(1 << 20))
+    cache = bpe.WordCache(lambda words: bpe.flattened([[int(w), *w] for w in words]), limit=700)
+    for begin in (0, 100, 0, 600, 550, 0):
+        words = [str(k % (begin + 300)).zfill(4).encode() for k in range(begin, begin + 400)]
+        starts = np.append(0, np.cumsum([len(w) for w in words]))
+        ids, counts = cache.encode(np.frombuffer(b"".join(words), np.uint8), starts)
+        assert ids.tolist() == [x for w in words for x in (int(w), *w)] and counts.tolist() == [5] * len(words)
+
+
 def test_null_ids_come_first(spark, tmp_path):
     from tokenizers import Tokenizer
 
@@ -107,6 +141,13 @@ def test_grammar_round_trip(ids):
     assert int(repair._lengths(symbols, lengths).sum()) == len(ids)
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=200))
+def test_many_symbols_of_few_rules(ids):
+    symbols, rules, _ = repair.compress(np.array(ids, np.int32), least=2)
+    assert repair.expand(np.tile(symbols, 1 + len(rules)), rules).tolist() == ids * (1 + len(rules))
+
+
 def test_grammar_shrinks_repeats():
     ids = np.tile(np.arange(16), 500)
     assert len(repair.compress(ids)[0]) <= len(ids) / 8

@@ -6,6 +6,7 @@ import base64
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +20,20 @@ CACHE_WORDS = 600_000
 
 
 class WordCache:
-    """Ids of slices by hash. ``merge`` encodes a list of slices; full, the cache begins anew."""
+    """Ids of slices by hash. ``merge`` encodes a list of slices; full, the cache begins anew.
 
-    def __init__(self, merge: Callable[[list[bytes]], list[list[int]]], limit: int = CACHE_WORDS):
+    ``merge`` returns ids, and where in them each slice's begin and how many they
+    are. Slots are found by linear probing from the upper bits of the hash, for
+    all slices at once.
+    """
+
+    def __init__(self, merge: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, np.ndarray]], limit: int = CACHE_WORDS):
         self.merge, self.limit = merge, limit
         self.clear()
 
     def clear(self) -> None:
-        self.slot: dict[int, int] = {}
+        self.size = 0
+        self.table, self.keys = np.full(1 << 16, -1, np.int32), np.zeros(1 << 14, np.uint64)
         self.pool, self.used = np.zeros(1 << 16, np.int32), 0
         self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -37,47 +44,70 @@ class WordCache:
             new[: len(old)] = old
             setattr(self, name, new)
 
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return (keys >> np.uint64(65 - len(self.table).bit_length())).astype(np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of every key, -1 if it has none."""
+        at = self._home(keys)
+        slot = self.table[at]
+        rest = np.flatnonzero((slot >= 0) & (self.keys[slot] != keys))
+        while len(rest):
+            at[rest] = (at[rest] + 1) % len(self.table)
+            slot[rest] = found = self.table[at[rest]]
+            rest = rest[(found >= 0) & (self.keys[found] != keys[rest])]
+        return slot
+
+    def _place(self, keys: np.ndarray) -> None:
+        """New slots for distinct keys that have none. The table is never more than half full."""
+        self._room("keys", self.size + len(keys))
+        self.keys[self.size : self.size + len(keys)] = keys
+        begin, self.size = self.size, self.size + len(keys)
+        if 2 * self.size > len(self.table):
+            self.table, begin = np.full(1 << (4 * self.size - 1).bit_length(), -1, np.int32), 0
+        slot = np.arange(begin, self.size, dtype=np.int32)
+        at = self._home(self.keys[begin : self.size])
+        while len(slot):
+            free = self.table[at] < 0
+            self.table[at[free]] = slot[free]
+            left = self.table[at] != slot
+            slot, at = slot[left], (at[left] + 1) % len(self.table)
+
     def encode(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``ids`` of all slices in turn and the number of ids of each slice."""
         if len(starts) < 2:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        if len(self.slot) > self.limit:
+        if self.size > self.limit:
             self.clear()
-        keys = textscan.span_hash(textscan.byte_sums(data), starts[:-1], starts[1:])
-        unique, where, back = np.unique(keys, return_index=True, return_inverse=True)
-        slots = np.fromiter(map(self.slot.get, unique.tolist(), _MISSING), np.int64, len(unique))
-        new = np.flatnonzero(slots < 0)
+        keys = textscan.word_hashes(data, starts[:-1], starts[1:])
+        slot = self._find(keys)
+        new = np.flatnonzero(slot < 0)
         if len(new):
-            raw, begin, end = data.tobytes(), starts[where[new]].tolist(), starts[where[new] + 1].tolist()
-            merged = self.merge([raw[a:b] for a, b in zip(begin, end)])
-            n = len(self.slot)
-            lens = np.fromiter(map(len, merged), np.int64, len(merged))
-            flat = np.fromiter((i for ids in merged for i in ids), np.int32, int(lens.sum()))
-            self._room("pool", self.used + len(flat))
-            self._room("first", n + len(new))
-            self._room("count", n + len(new))
-            self.pool[self.used : self.used + len(flat)] = flat
-            self.first[n : n + len(new)] = self.used + np.cumsum(lens) - lens
-            self.count[n : n + len(new)] = lens
-            self.used += len(flat)
-            slots[new] = np.arange(n, n + len(new))
-            self.slot.update(zip(unique[new].tolist(), slots[new].tolist()))
-        slot = slots[back]
+            unique, where, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            where = new[where]
+            raw, begin, end = data.tobytes(), starts[where].tolist(), starts[where + 1].tolist()
+            ids, first, counts = self.merge([raw[a:b] for a, b in zip(begin, end)])
+            n = self.size
+            self._place(unique)
+            self._room("pool", self.used + len(ids))
+            self._room("first", self.size)
+            self._room("count", self.size)
+            self.pool[self.used : self.used + len(ids)] = ids
+            self.first[n : self.size] = self.used + first
+            self.count[n : self.size] = counts
+            self.used += len(ids)
+            slot[new] = n + back
         counts = self.count[slot]
         ends = np.cumsum(counts)
         index = np.arange(ends[-1]) + np.repeat(self.first[slot] - (ends - counts), counts)
         return self.pool[index], counts
 
 
-class _Minus:
-    def __iter__(self):
-        return self
-
-    def __next__(self):
-        return -1
-
-
-_MISSING = _Minus()
+def flattened(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in turn, where each list's begin and how many they are."""
+    lens = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lens.sum()))
+    return flat, np.cumsum(lens) - lens, lens
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -92,7 +122,7 @@ def encoder(ranks_path: str, pattern: str) -> WordCache:
 
     ranks = read_ranks(ranks_path)
     one = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece
-    return WordCache(lambda words: [one(w) for w in words])
+    return WordCache(lambda words: flattened([one(w) for w in words]))
 
 
 def encode_rows(known: WordCache, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -10,7 +10,6 @@ stretch without the rest.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm import textscan
-from tidewatch.llm.bpe import WordCache, encode_rows
+from tidewatch.llm.bpe import WordCache, encode_rows, flattened
 from tidewatch.llm.tables import parts
 from tidewatch.session import settle, shared_dir
 
@@ -44,6 +43,10 @@ def _pairs(symbols: np.ndarray) -> np.ndarray:
     return (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
 
 
+def _bins(pairs: np.ndarray) -> np.ndarray:
+    return (textscan.mixed(pairs) & np.uint64(_BINS - 1)).astype(np.int64)
+
+
 def _frequent(pairs: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent pairs, and for each position the number of its pair among them or -1.
 
@@ -51,23 +54,24 @@ def _frequent(pairs: np.ndarray, most: int, least: int) -> tuple[np.ndarray, np.
     two frequent pairs in one bin the more frequent is taken; the other's turn
     is a later round.
     """
-    bins = (textscan.mixed(pairs) & np.uint64(_BINS - 1)).astype(np.int64)
+    bins = _bins(pairs)
     full = np.bincount(bins, minlength=_BINS)
     # the count that about twice as many bins reach as rules are wanted
     reached = np.cumsum(np.bincount(np.minimum(full, 1 << 12))[::-1])[::-1]
     cut = max(least, int((reached >= 2 * most).sum()) - 1)
-    kinds, where, counts = np.unique(pairs[some := np.flatnonzero(full[bins] >= cut)], return_index=True, return_counts=True)
+    kinds, counts = np.unique(pairs[full[bins] >= cut], return_counts=True)
     order = np.lexsort((kinds, -counts))
     order = order[counts[order] >= least][:most]
-    chosen, own = kinds[order], bins[some[where[order]]]
+    chosen = kinds[order]
+    own = _bins(chosen)
     table = np.full(_BINS, -1, np.int64)
     table[own[::-1]] = np.arange(len(own))[::-1]
     used = table[own] == np.arange(len(own))
     chosen, own = chosen[used], own[used]
     table[own] = np.arange(len(own))
     at = table[bins]
-    if len(chosen):
-        at[chosen[at] != pairs] = -1
+    some = np.flatnonzero(at >= 0)
+    at[some[chosen[at[some]] != pairs[some]]] = -1
     return chosen, at
 
 
@@ -82,22 +86,19 @@ def compress(ids: np.ndarray, rounds: int = ROUNDS, a_round: int = RULES_A_ROUND
         chosen, at = _frequent(pairs, a_round, least)
         if not len(chosen):
             break
-        hit = at >= 0
+        hit = np.flatnonzero(at >= 0)
         # of a run of overlapping hits every second one is replaced
-        begin = hit.copy()
-        begin[1:] &= ~hit[:-1]
-        index = np.arange(len(hit))
-        run = np.maximum.accumulate(np.where(begin, index, -1))
-        hit &= (index - run) % 2 == 0
+        begin = np.diff(hit, prepend=-2) > 1
+        run = np.maximum.accumulate(np.where(begin, hit, -1))
+        hit = hit[(hit - run) % 2 == 0]
         base = FIRST_RULE + len(rules)
         new = np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         lengths = np.append(lengths, _lengths(new[:, 0], lengths) + _lengths(new[:, 1], lengths))
         rules = np.concatenate([rules, new])
-        out = symbols.copy()
-        out[:-1][hit] = base + at[hit]
+        symbols[hit] = base + at[hit]
         keep = np.ones(len(symbols), bool)
-        keep[1:] = ~hit
-        symbols = out[keep]
+        keep[hit + 1] = False
+        symbols = symbols[keep]
     return symbols, rules, lengths
 
 
@@ -110,6 +111,20 @@ def _lengths(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 def expand(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     """The ids that ``symbols`` stand for."""
+    if len(symbols) <= len(rules):
+        return _unrolled(symbols, rules)
+    # each rule is unrolled once
+    lens = np.ones(len(rules), np.int64)
+    while (lens != (longer := _lengths(rules[:, 0], lens) + _lengths(rules[:, 1], lens))).any():
+        lens = longer
+    pool = np.concatenate([np.arange(FIRST_RULE, dtype=np.uint32), _unrolled(np.arange(FIRST_RULE, FIRST_RULE + len(rules), dtype=np.uint32), rules)])
+    first = np.append(np.arange(FIRST_RULE), FIRST_RULE + np.cumsum(lens) - lens)
+    counts = _lengths(symbols, lens)
+    ends = np.cumsum(counts)
+    return pool[np.arange(ends[-1]) + np.repeat(first[symbols] - (ends - counts), counts)] if len(symbols) else symbols
+
+
+def _unrolled(symbols: np.ndarray, rules: np.ndarray) -> np.ndarray:
     while True:
         rule = symbols >= FIRST_RULE
         if not rule.any():
@@ -160,25 +175,29 @@ def library_cache(path: str) -> tuple[WordCache, object]:
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    plain = re.compile(r" [^\W\d_]+")
+    # a line feed between two slices that are no white space is a slice of its own
+    # and changes neither, so many slices go to the library as one text
+    feed = tokenizer.encode("\n", add_special_tokens=False).ids
 
-    def merge(words: list[bytes]) -> list[list[int]]:
+    def merge(words: list[bytes]):
         texts = [w.decode("utf-8") for w in words]
-        # a blank and ASCII letters: the library cuts a row of such slices just between them
-        row = [k for k, t in enumerate(texts) if t.isascii() and plain.fullmatch(t)]
-        out: list[list[int]] = [[] for _ in texts]
-        for k in range(0, len(row), JOINED):
-            some = row[k : k + JOINED]
-            found = tokenizer.encode("".join(texts[i] for i in some), add_special_tokens=False)
-            ends = np.cumsum([len(texts[i]) for i in some])
-            stops = np.searchsorted(np.fromiter((b for _, b in found.offsets), np.int64, len(found.offsets)), ends, "right")
-            ids, begin = found.ids, 0
-            for i, stop in zip(some, stops.tolist()):
-                out[i], begin = ids[begin:stop], stop
-        rest = sorted(set(range(len(texts))) - set(row))
-        for i, e in zip(rest, tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = e.ids
-        return out
+        ids, first, counts, used = [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), 0
+        row = [k for k, t in enumerate(texts) if not t[-1].isspace()] if len(feed) == 1 else []
+        runs = [row[k : k + JOINED] for k in range(0, len(row), JOINED)]
+        joined = ["\n".join([texts[i] for i in run]) + "\n" for run in runs]
+        done = np.zeros(len(texts), bool)
+        for run, e in zip(runs, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            found = np.array(e.ids, np.int32)
+            ends = np.flatnonzero(found == feed[0])
+            if len(ends) == len(run):
+                begin = np.append(0, ends[:-1] + 1)
+                ids.append(found)
+                first[run], counts[run], done[run] = used + begin, ends - begin, True
+                used += len(found)
+        rest = np.flatnonzero(~done)
+        alone = flattened([e.ids for e in tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)])
+        first[rest], counts[rest] = used + alone[1], alone[2]
+        return np.concatenate([*ids, alone[0]]), first, counts
 
     return WordCache(merge), tokenizer
 
