@@ -17,6 +17,7 @@ from tidewatch.llm import textscan
 from tidewatch.llm.pretoken import slices
 
 CACHE_WORDS = 600_000
+PIECE = 1 << 18  # bytes that one step of a task encodes and sends on; a step's arrays are many times as large
 
 
 class WordCache:
@@ -125,9 +126,9 @@ def encoder(ranks_path: str, pattern: str) -> WordCache:
     return WordCache(lambda words: flattened([one(w) for w in words]))
 
 
-def encode_rows(known: WordCache, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def encode_rows(known: WordCache, data: np.ndarray, offsets: np.ndarray, limit: int = textscan.PIECE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, ids, ends of the rows' ids)`` of runs of rows."""
-    for i, j in textscan.groups_of(offsets):
+    for i, j in textscan.groups_of(offsets, limit):
         part = data[offsets[i] : offsets[j]]
         starts, first = slices(part, offsets[i : j + 1] - offsets[i])
         ids, counts = known.encode(part, starts)
@@ -204,21 +205,19 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id",
         shown_at = np.append(0, np.cumsum([len(x) for x in shown]))
         for batch in batches:
             data, offsets = textscan.column_bytes(batch.column(1))
-            counts, written, decoded, every = [], [], [], [np.zeros(0, np.int32)]
-            for _, ids, ends in encode_rows(known, data, offsets):
+            # a run of rows at a time goes on, so that no task holds the ids of a whole batch
+            for i, ids, ends in encode_rows(known, data, offsets, PIECE):
                 plain, said = decode_ids(pool, begin, ids), decode_ids(shown_pool, shown_at, ids)
                 at = np.append(0, np.cumsum(begin[ids + 1] - begin[ids]))[ends]
                 to = np.append(0, np.cumsum(shown_at[ids + 1] - shown_at[ids]))[ends]
+                written, decoded = [], []
                 for r in range(len(ends) - 1):
                     written.append(hashlib.sha256(said[to[r] : max(to[r], to[r + 1] - 1)]).hexdigest())
                     decoded.append(hashlib.sha256(plain[at[r] : at[r + 1]]).hexdigest())
-                counts.extend(np.diff(ends).tolist())
+                columns = [batch.column(0).slice(i, len(written)), pa.array(np.diff(ends), pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
                 if with_ids:
-                    every.append(ids)
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(written, pa.string()), pa.array(decoded, pa.string())]
-            if with_ids:
-                columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(np.concatenate(every), pa.int32())))
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
     schema = f"{key} {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

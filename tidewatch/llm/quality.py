@@ -29,6 +29,7 @@ REJECT_BELOW = 0.3
 BINS = 1 << 10
 LAYOUT = 14
 HASHED = 16
+PIECE = 1 << 18  # bytes that one step of a task scores and sends on; a step's arrays are many times as large
 _TRI = np.random.default_rng(20240103).integers(0, 1 << 63, (3, 256), dtype=np.uint64)
 
 
@@ -214,7 +215,7 @@ def _features(batch: pa.RecordBatch, at: dict[str, int]):
     """``first row, content, metadata`` of runs of rows."""
     data, offsets = textscan.column_bytes(batch.column(at["text"]))
     side = [batch.column(at[c]).to_pylist() if c in at else [None] * len(batch) for c in ("lang", "source", "n_chars")]
-    for i, j in textscan.groups_of(offsets, 1 << 19):
+    for i, j in textscan.groups_of(offsets, PIECE):
         for a in range(i, j, 256):
             b = min(a + 256, j)
             part, o = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
@@ -288,9 +289,12 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = REJECT_BE
 
     def run(batches):
         for batch in batches:
-            odds = [model.odds(x1, x2) for x1, x2 in _features(batch, at)]
-            p = 1 / (1 + np.exp(-np.clip(np.concatenate(odds), -500, 500))) if odds else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array(p >= threshold)], names=[*rest, "quality_score", "keep"])
+            start = 0
+            for x1, x2 in _features(batch, at):
+                p = 1 / (1 + np.exp(-np.clip(model.odds(x1, x2), -500, 500)))
+                here = batch.slice(start, len(p))
+                yield pa.RecordBatch.from_arrays([*here.columns, pa.array(p), pa.array(p >= threshold)], names=[*rest, "quality_score", "keep"])
+                start += len(p)
 
     return source.mapInArrow(run, schema)
 
