@@ -2,13 +2,14 @@
 
 import random
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from tidewatch.llm import bpe, quality
+from tidewatch.llm import bpe, divergence, quality
 from tidewatch.llm.queries import RANKS, pattern, vocabulary
 
 
@@ -28,6 +29,8 @@ class Frame:
 
     groupBy = agg = select
 
+    groupBy = agg = select
+
 
 @pytest.fixture(scope="module")
 def batch():
@@ -80,3 +83,17 @@ def test_ids_go_on_in_small_runs(batch):
     alone = [r for k in (0, 1, 2, 1700, 3502, 3503) for b in frame.run(iter([batch.slice(k, 1)])) for r in b.to_pylist()]
     assert alone == [got[r["doc_id"]] for r in alone]
     assert all(r["n_tokens"] == len(r["ids"]) for r in got)
+
+
+def test_terms_are_counted_in_small_runs(spark, batch):
+    frame = Frame(lang=T.StringType(), source=T.StringType(), text=T.StringType())
+    divergence.term_counts(frame)
+    names = ["lang", "source", "text"]
+    out, most = taken(frame.run, batch.select(names))
+    assert len(out) > 3 and most < 8 * batch.nbytes
+    got, plain = Counter(), Counter()
+    for r in pa.Table.from_batches(out).to_pylist():
+        got[r["source"], r["term"]] += r["n"]
+    for r in batch.to_pylist():
+        plain.update((r["source"], t) for t in (r["text"] or "").split())
+    assert got == plain

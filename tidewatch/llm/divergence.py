@@ -26,7 +26,7 @@ from tidewatch.session import settle
 MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-PIECE = 16 << 20
+PIECE = 2 << 20  # bytes whose terms a task counts at once; its arrays are many times as large
 WORDS = 16  # bitset words of a language that one task compares
 TILE = 64  # groups of a language that one task compares with as many others
 _ROWS = 512
