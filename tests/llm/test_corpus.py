@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import jaccard, mixing, quality
+from tidewatch.llm import jaccard, mixing, quality, seeds
 from tidewatch.llm.queries import QUERIES
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -194,3 +194,26 @@ def test_rows_without_an_id_are_ranked_apart(spark):
     assert keep(first) == keep(mixing.mix(docs.repartition(7, "text"), share=0.5))
     ranked = [p for p in first._jdf.queryExecution().optimizedPlan().toString().split("\n") if "xxhash64(8, " in p]
     assert ranked and all("text" in p for p in ranked)
+
+
+def test_only_rows_that_can_be_near_are_shuffled_with_their_text(spark, monkeypatch):
+    words = [f"w{i}" for i in range(5000)]
+    rows = [(i, " ".join(words[(i * 7919 + k * k * (i + 1)) % 5000] for k in range(60))) for i in range(600)]
+    rows += [(1000 + i, rows[i][1] + " more") for i in range(12)] + [(None, rows[3][1]), (5, rows[4][1]), (5, None)]
+    plain, sent = seeds.on_key, []
+    monkeypatch.setattr(seeds, "on_key", lambda left, right, how: sent.append(left.count()) or plain(left, right, how))
+    got = jaccard.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert len(got) == len(rows) and 24 <= sent[0] < len(rows) / 2
+    near = {r.doc_id: r.component_id for r in got if r.doc_id is None or r.doc_id >= 1000}
+    assert near == {None: 3, **{1000 + i: i for i in range(12)}}
+
+
+def test_sifting_keeps_every_wanted_row(spark, monkeypatch):
+    rows = spark.range(20000).select(F.when(F.col("id") > 9, F.col("id")).alias("doc_id"), (F.col("id") % 3).alias("tag"), F.lit("t").alias("text"))
+    keys = rows.filter("doc_id % 20 = 0 OR doc_id IS NULL").select("doc_id", "tag").distinct()
+    left = seeds.sifted(rows, keys, ["doc_id", "tag"])
+    assert left.columns == rows.columns and left.filter("doc_id % 20 = 0 OR doc_id IS NULL").count() == 1009
+    assert left.count() < 20000 / 4
+    assert seeds.sifted(rows, keys.limit(0), ["doc_id", "tag"]).count() == 0
+    monkeypatch.setattr(seeds, "SIFTED", 10)
+    assert seeds.sifted(rows, keys, ["doc_id", "tag"]).count() == 20000
