@@ -217,3 +217,71 @@ def test_sifting_keeps_every_wanted_row(spark, monkeypatch):
     assert seeds.sifted(rows, keys.limit(0), ["doc_id", "tag"]).count() == 0
     monkeypatch.setattr(seeds, "SIFTED", 10)
     assert seeds.sifted(rows, keys, ["doc_id", "tag"]).count() == 20000
+
+
+def test_candidates_that_are_no_links_make_no_regions(spark, monkeypatch):
+    """Rows of one family share nearly half their shingles: candidates, but far from linked. Their texts stay where they are."""
+    words = [f"w{i}" for i in range(90000)]
+    rows = []
+    for family in range(40):
+        common = words[family * 2000 : family * 2000 + 300]
+        rows += [(family * 10 + k, " ".join(common + words[family * 2000 + 400 + k * 150 : family * 2000 + 550 + k * 150])) for k in range(5)]
+    rows += [(5000 + i, rows[i][1] + " more") for i in range(6)]
+    plain, sent = jaccard._small_regions, []
+    monkeypatch.setattr(jaccard, "_small_regions", lambda texts, *rest: sent.append(texts.count()) or plain(texts, *rest))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.join(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_links(rows)
+    assert 12 <= sent[0] < 30
+
+
+def test_parities_rule_out_no_link(spark):
+    """Pairs on either side of 85 %, of sets whose numbers of classes are the same, or one twice or four times the other."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for n in (1, 2, 40, 60, 64, 65, 70, 120, 128, 130, 500, 1100):
+        base = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        for change in (0, 1, n // 20, n // 13, n // 12, n // 9, n // 6, n // 2):
+            fresh = rng.integers(0, 1 << 63, change, dtype=np.uint64)
+            sets += [np.unique(np.append(base[change // 2 :], fresh)), np.unique(np.append(base, fresh))]
+    sets = [s for s in sets if len(s)]
+    frame = spark.createDataFrame([(k, len(s), jaccard.parity(s).tolist()) for k, s in enumerate(sets)], "id bigint, n bigint, parity array<bigint>")
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a)]
+    near = spark.createDataFrame(pairs, "a bigint, b bigint")
+    size = {k: len(s) for k, s in enumerate(sets)}
+    common = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in pairs}
+    for percent in (85, 30):
+        left = {(r.a, r.b) for r in jaccard._possible(near, frame, percent).collect()}
+        linked = {p for p in pairs if 100 * common[p] >= percent * (size[p[0]] + size[p[1]] - common[p])}
+        assert linked <= left
+        uneven = sum(max(size[a], size[b]) > 2 * min(size[a], size[b]) for a, b in pairs)
+        assert len(left) < len(linked) + uneven + (len(pairs) - uneven) / (4 if percent == 85 else 1)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 9])
+def test_pivots_crowded_in_one_batch_are_crowded_in_all(spark, monkeypatch, parts):
+    """Copies and near copies of one text: most in one partition, some alone in others."""
+    monkeypatch.setattr(jaccard, "CROWD", 3)
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[: 60 + i % 9] + [f"x{i % 13}"])) for i in range(60)] + [(100 + i, " ".join(words[3 * i : 3 * i + 40])) for i in range(40)]
+    rows += [(200, rows[0][1]), (201, rows[0][1]), (202, None), (203, "")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    many, few = frame.filter("doc_id % 7 > 0").coalesce(1), frame.filter("doc_id % 7 = 0").repartition(parts)
+    assert components_of(many.unionByName(few)) == brute_links(rows)
+
+
+def test_first_pivots_are_shuffled_once(spark, docs):
+    signatures = jaccard._signatures(seeds.keyed(docs), 4, 85).localCheckpoint()
+    settled = []
+    try:
+        plain, jaccard.settle = jaccard.settle, lambda df: settled.append(df) or df
+        assert jaccard._first_places(signatures).count() > 0
+    finally:
+        jaccard.settle = plain
+    plan = settled[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1, plan
+
+
+def test_sifting_lets_few_others_through(spark):
+    rows = spark.range(40000).select(F.col("id").alias("doc_id"), F.lit(0).alias("tag"), F.lit("t").alias("text"))
+    keys = rows.filter("doc_id % 10 = 0").select("doc_id", "tag")
+    assert 4000 <= seeds.sifted(rows, keys, ["doc_id", "tag"]).count() < 4000 + 36000 / 30
