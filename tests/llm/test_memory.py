@@ -1,15 +1,21 @@
 """What a task holds at once: steps over a batch send their rows on in small runs."""
 
+import ctypes
+import os
 import random
+import re
+import subprocess
+import sys
 import tracemalloc
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
-from tidewatch.llm import bpe, divergence, quality
+from tidewatch.llm import bpe, divergence, jaccard, quality
 from tidewatch.llm.queries import RANKS, pattern, vocabulary
 
 
@@ -97,3 +103,53 @@ def test_terms_are_counted_in_small_runs(spark, batch):
     for r in batch.to_pylist():
         plain.update((r["source"], t) for t in (r["text"] or "").split())
     assert got == plain
+
+
+def anonymous() -> float:
+    """MB of this process that no file stands for."""
+    return int(re.search(r"\nAnonymous:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+
+
+def kept_by(stage: str, path: str) -> float:
+    """MB that a worker still holds after a task over batches from a stream, beyond what it held after a few rows."""
+    frame = Frame(**{"doc_id": T.LongType(), **({"tag": T.LongType()} if stage == "jaccard" else {}), "text": T.StringType()})
+    if stage == "jaccard":
+        jaccard._signatures(frame, jaccard.SHINGLE, jaccard.PERCENT)
+    else:
+        bpe.digests(frame, vocabulary(RANKS), pattern(), with_ids=True)
+
+    def batches():
+        # through Python's files, as workers read theirs
+        with open(path, "rb") as stream:
+            for found in pa.ipc.open_stream(stream):
+                yield found.select(frame.columns)
+
+    for _ in frame.run(b.slice(0, 5) for b in batches()):
+        pass
+    ctypes.CDLL(None).malloc_trim(0)
+    before = anonymous()
+    for _ in frame.run(batches()):
+        pass
+    return anonymous() - before
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists() or not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="memory can't be read or trimmed here")
+@pytest.mark.parametrize("stage", ["jaccard", "bpe"])
+def test_workers_give_memory_back(tmp_path, stage):
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(2, 9))) for _ in range(4000)]
+    path = str(tmp_path / "batches")
+    with pa.OSFile(path, "wb") as out:
+        writer = None
+        for n in (4000, 2000, 4000, 2000):
+            texts = [None] + [" ".join(rng.choices(words, k=rng.randrange(1, 1000))) for _ in range(n)]
+            made = pa.RecordBatch.from_arrays([pa.array(range(n + 1), pa.int64()), pa.array([0] * (n + 1), pa.int64()), pa.array(texts)], names=["doc_id", "tag", "text"])
+            writer = writer or pa.ipc.new_stream(out, made.schema)
+            writer.write_batch(made)
+        writer.close()
+    here = Path(__file__).parent
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([str(here.parents[1]), str(here), os.environ.get("PYTHONPATH", "")])}
+    # a process of its own, whose memory no other test has touched
+    done = subprocess.run([sys.executable, "-c", f"import test_memory as t; print(t.kept_by({stage!r}, {path!r}))"], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert float(done.stdout) < 30

@@ -244,7 +244,7 @@ def _sample(docs: DataFrame, ids: DataFrame) -> dict[int, tuple[np.ndarray, np.n
                 start += n
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    found = chosen.mapInArrow(run, f"doc_id {kind}, a binary, b binary").collect()
+    found = chosen.mapInArrow(textscan.lean(run), f"doc_id {kind}, a binary, b binary").collect()
     return {r["doc_id"]: (np.frombuffer(r["a"], "<f4"), np.frombuffer(r["b"], "<f4")) for r in sorted(found, key=lambda r: (r["doc_id"], r["a"]))}
 
 
@@ -296,7 +296,7 @@ def score(docs: DataFrame, model: CoTrained | None, threshold: float = REJECT_BE
                 yield pa.RecordBatch.from_arrays([*here.columns, pa.array(p), pa.array(p >= threshold)], names=[*rest, "quality_score", "keep"])
                 start += len(p)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(textscan.lean(run), schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
